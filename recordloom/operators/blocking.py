@@ -66,11 +66,11 @@ def candidate_pair_total(records: DataFrame, prefix: int = 6) -> DataFrame:
     counted in both."""
     rows = with_block_keys(comparable(records, unique_ids=True), prefix)
     name, skeleton = F.col("name_key"), F.col("skeleton")
-    groups = F.array(
-        F.struct(F.lit(1).alias("sign"), name.alias("a"), F.lit("").alias("b")),
-        F.struct(F.lit(1), F.lit(""), skeleton),
-        F.struct(F.lit(-1), name, skeleton),
-    )
+
+    def group(sign: int, a: Column, b: Column) -> Column:
+        return F.struct(F.lit(sign).alias("sign"), a.alias("a"), b.alias("b"))
+
+    groups = F.array(group(1, name, F.lit("")), group(1, F.lit(""), skeleton), group(-1, name, skeleton))
     keyed = rows.select(F.explode(groups).alias("g")).where(F.col("g.a").isNotNull() & F.col("g.b").isNotNull())
     n = F.col("n")
     sizes = keyed.groupBy("g").agg(F.count("*").alias("n"))
@@ -142,6 +142,10 @@ def pairs_on_key(keyed: DataFrame, chunk: int = 2000) -> DataFrame:
 
 def decisive_pairs(profs: DataFrame, model: LinkModel = LinkModel(), threshold: float = 0.45) -> DataFrame:
     """(id_a, id_b) of every pair of profiles in a common block that can reach `threshold`."""
+
+    def hashed(tokens: Column, *context: Column) -> Column:
+        return F.transform(tokens, lambda t: F.xxhash64(*context, t))
+
     keys, token_keys = [], []
     for i, (block, ids, tokens) in enumerate(_join_rules(model, threshold)):
         columns = [F.col(block), *[F.col(IDENTIFIERS[f]) for f in ids]]
@@ -149,10 +153,7 @@ def decisive_pairs(profs: DataFrame, model: LinkModel = LinkModel(), threshold:
         for c in columns[1:]:
             present = present & c.isNotNull()
         if tokens:
-            shared = F.transform(
-                shared_token_keys(F.col("norm_name"), AGREES_FROM["token_jaccard"]),
-                lambda t, i=i, columns=columns: F.xxhash64(F.lit(i), *columns, t),
-            )
+            shared = hashed(shared_token_keys(F.col("norm_name"), AGREES_FROM["token_jaccard"]), F.lit(i), *columns)
             token_keys.append(F.when(present, shared).otherwise(F.array().cast("array<bigint>")))
         else:
             keys.append(F.when(present, F.xxhash64(F.lit(i), *columns)))

@@ -12,37 +12,37 @@ def _tokens(c: Column) -> Column:
     return F.filter(F.split(normalize_name(c), " "), lambda t: t != "")
 
 
-def _hashes(words: Column) -> Column:
-    """128 bits that stand for a word sequence in the join."""
-    return F.struct(F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"))
-
-
 def mention_rows(texts: DataFrame, names: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, position, name): every place where the words of a known name occur in a text.
 
-    `texts` has (id, text), `names` has (name). Names are reduced to distinct word sequences, and the
-    texts yield one short hash per position and name length. Spark broadcasts the names if their
-    measured size allows, otherwise both sides are shuffled on the hash.
+    `texts` has (id, text), `names` has (name). A name is found by its longest pair of adjacent words
+    (its word, if it has only one): a text yields one short hash per word and per word pair. Places
+    where the hash meets a name are then checked word by word against the text. Spark broadcasts the
+    names if their measured size allows, otherwise both sides are shuffled on the hash.
     """
+    worded = texts.select(id_col, _tokens(F.col("text")).alias("tokens")).where(F.size("tokens") > 0)
     known = names.select(_tokens(F.col("name")).alias("words")).where(F.size("words") > 0).distinct()
-    known = known.select(F.array_join("words", " ").alias("name"), _hashes(F.col("words")).alias("h"), F.size("words").alias("n"))
-    # One number per length of a name, at most as many as the longest name has words.
-    lengths = sorted(r["n"] for r in known.select("n").distinct().collect())
-    def spans(n: Column) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.size("tokens")), lambda i: i <= F.size("tokens") - n + 1)
+
+    def grams(words: Column, n: int) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: i <= F.size(words) - n + 1)
         return F.transform(
             starts,
-            lambda i: F.struct(i.cast("int").alias("position"), _hashes(F.slice("tokens", i, n)).alias("h")),
+            lambda i: F.struct(i.cast("int").alias("at"), F.xxhash64(F.lit(n), F.slice(words, i, F.lit(n))).alias("h")),
         )
 
-    worded = texts.select(id_col, _tokens(F.col("text")).alias("tokens")).where(F.size("tokens") > 0)
-    # Lengths are exploded before positions, so a row holds the spans of one length only.
-    sized = worded.select(id_col, "tokens", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")).alias("n"))
-    found = sized.select(id_col, F.explode(spans(F.col("n"))).alias("s"))
-    hits = found.select(id_col, "s.position", F.col("s.h.h1").alias("h1"), F.col("s.h.h2").alias("h2")).join(
-        known.select("name", F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2")), ["h1", "h2"]
-    )
-    return hits.select(id_col, "position", "name")
+    def width(words: Column, i: Column) -> Column:
+        return F.length(F.get(words, i - 1)) + F.length(F.get(words, i))
+
+    pairs = grams(F.col("words"), 2)
+    ranked = F.array_sort(F.transform(pairs, lambda g: F.struct((-width(F.col("words"), g["at"])).alias("w"), g.alias("g"))))
+    anchor = F.when(F.size("words") == 1, F.get(grams(F.col("words"), 1), F.lit(0))).otherwise(F.get(ranked, F.lit(0))["g"])
+    anchored = known.select("words", anchor.alias("g")).select("words", F.col("g.at").alias("offset"), F.col("g.h").alias("h"))
+
+    spots = worded.select(id_col, F.explode(F.concat(grams(F.col("tokens"), 1), grams(F.col("tokens"), 2))).alias("s"))
+    near = spots.select(id_col, "s.at", "s.h").join(anchored, "h")
+    places = near.select(id_col, (F.col("at") - F.col("offset") + 1).alias("position"), "words").where(F.col("position") >= 1)
+    same = (places[id_col] == worded[id_col]) & (F.slice("tokens", F.col("position"), F.size("words")) == F.col("words"))
+    return places.join(worded, same).select(places[id_col], "position", F.array_join("words", " ").alias("name"))
 
 
 def extract_mentions(texts: DataFrame, names: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -112,6 +112,6 @@ def search_names(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame
     )
     tf, length = F.col("tf").cast("double"), F.col("length")
     gain = F.col("w") * tf / (tf + K1 * (1.0 - B + B * length / F.col("avg_length")))
-    hits = priced.join(index, ["view", "token"]).groupBy("query_id", "name", "n").agg(F.sum(gain).alias("score"))
+    hits = priced.join(index, ["view", "token"]).groupBy("query_id", "name", "n").agg(F.round(F.sum(gain), 6).alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "name"))
-    return hits.withColumn("score", F.round("score", 6)).withColumn("rank", rank).where(F.col("rank") <= k)
+    return hits.withColumn("rank", rank).where(F.col("rank") <= k)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from recordloom.functions.phonetic import LONGEST, RULES, SAME_SOUND
 from recordloom.functions.text import SALT_WORDS
 from recordloom.operators.compare import FEATURES
 from recordloom.operators.explain import WORDING
@@ -117,9 +118,9 @@ def _agrees(f: str) -> str:
     return f"{f} >= {AGREES_FROM[f]}" if f in AGREES_FROM else f
 
 
-_BITS = {f: f"case when {_agrees(f)} then {_MODEL.bits(f, True)!r} else {_MODEL.bits(f, False)!r} end" for f in FIELD_ORDER}
+_BITS = {f: f"case when {_agrees(f)} then {_MODEL.bits(f, True)!r}::double else {_MODEL.bits(f, False)!r}::double end" for f in FIELD_ORDER}
 _SCORED = (
-    f"bits as (select *, {_MODEL.prior_bits!r} + ({' + '.join(_BITS[f] for f in FIELD_ORDER)}) as total_bits from feat), "
+    f"bits as (select *, {_MODEL.prior_bits!r}::double + ({' + '.join(_BITS[f] for f in FIELD_ORDER)}) as total_bits from feat), "
     "post as (select *, 1.0 / (1.0 + pow(2.0, -total_bits)) as posterior from bits), "
     "scored as (select *, case when posterior >= 0.90 then 'match' when posterior >= 0.45 then 'review' else 'non-match' end"
     " as decision from post), links as (select * from scored where decision <> 'non-match')"
@@ -432,26 +433,29 @@ def _report(i: int, v: str) -> str:
         f"select '{v}' as lf, {i} as position,"
         f" array_to_string(list_sort(list(distinct {v}) filter (where {v} <> -1)), ',') as polarity,"
         f" round(sum(n_pairs) filter (where {v} <> -1)::double / sum(n_pairs), 6) as coverage,"
-        f" round(sum(n_pairs) filter (where {v} <> -1 and len({others}) > 0)::double / sum(n_pairs), 6) as overlaps,"
+        f" round(sum(n_pairs) filter (where {v} <> -1 and len({others}) > 0)::double / sum(n_pairs), 6) as \"overlaps\","
         f" round(sum(n_pairs) filter (where {v} <> -1 and len(list_filter({others}, lambda o: o <> {v})) > 0)::double / sum(n_pairs), 6)"
         " as conflicts from votes"
     )
 
 
+_SHARES = ", ".join(f'coalesce("{c}", 0.0) as "{c}"' for c in ("coverage", "overlaps", "conflicts"))
 ORACLES["lf_report"] = (
-    _WEAK + "select lf, position, coalesce(polarity, '') as polarity, coalesce(coverage, 0.0) as coverage, coalesce(overlaps, 0.0) as overlaps,"
-    " coalesce(conflicts, 0.0) as conflicts from (" + " union all ".join(_report(i, v) for i, v in enumerate(VOTES)) + ")"
+    _WEAK + f"select lf, position, coalesce(polarity, '') as polarity, {_SHARES} from ("
+    + " union all ".join(_report(i, v) for i, v in enumerate(VOTES)) + ")"
 )
 
 # ---- mentions, neighbours, search ------------------------------------------------------------------
 
 _MENTIONS = (
-    f"phrases as (select distinct trim({_norm('p')}) as phrase from (select unnest(regexp_split_to_array(text, '[.,\\n]')) as p from benchmark)"
-    " where trim(p) <> ''), known as (select phrase, len(string_split(phrase, ' ')) as n from phrases where phrase <> ''),"
+    f"phrases as (select distinct trim({_norm('p')}) as phrase from (select unnest(regexp_split_to_array(text, '[.,\\n]')) as p from benchmark)),"
+    " known as (select phrase, string_split(phrase, ' ') as w from phrases where phrase <> ''),"
     f" docs as (select doc_id, string_split({_norm('text')}, ' ') as toks from documents),"
-    " grams as (select doc_id, unnest(range(1, len(toks) - n + 2)) as position, n, toks from docs, (select distinct n from known) where len(toks) >= n),"
-    " hits as (select g.doc_id, g.position::int as position, k.phrase as name from (select doc_id, position, n,"
-    " array_to_string(toks[position:position + n - 1], ' ') as gram from grams) g join known k on k.phrase = g.gram and k.n = g.n)"
+    " spots as (select doc_id, unnest(range(1, len(toks) + 1)) as position, unnest(toks) as t1, unnest(list_append(toks[2:], null)) as t2 from docs),"
+    " near as (select s.doc_id, s.position, k.phrase, len(k.w) as n from spots s join known k on len(k.w) = 1 and s.t1 = k.w[1]"
+    " union all select s.doc_id, s.position, k.phrase, len(k.w) from spots s join known k on s.t1 = k.w[1] and s.t2 = k.w[2]),"
+    " hits as (select d.doc_id, c.position::int as position, c.phrase as name from near c join docs d on d.doc_id = c.doc_id"
+    " where array_to_string(d.toks[c.position:c.position + c.n - 1], ' ') = c.phrase)"
 )
 ORACLES["mention_rows"] = f"with {_MENTIONS} select doc_id, position, name from hits"
 ORACLES["extract_mentions"] = (
@@ -465,22 +469,71 @@ ORACLES["knn_pairs"] = (
     " select id, neighbour, cosine, rank::int as rank from r where rank <= 10"
 )
 _WORDS = r"regexp_extract_all(lower({0}), '([\p{{L}}\p{{N}}\p{{M}}_]+(?:[''’.][\p{{L}}\p{{N}}\p{{M}}_]+)*)', 1)"
-_INDEX = (
-    f"named0 as (select name, count(*) as n, {_WORDS.format('name')} as w from registry group by name),"
-    " toks as (select name, n, 'words' as view, len(w) as length, unnest(w) as token from named0 union all"
-    " select name, n, 'autocomplete', len(g), unnest(g) from (select name, n, flatten(list_transform(w, lambda t:"
-    " list_transform(range(2, least(20, length(t)) + 1), lambda i: substr(t, 1, i)))) as g from named0)),"
-    " postings as (select view, token, name, n, length, count(*) as tf from toks group by view, token, name, n, length)"
-)
-ORACLES["name_index"] = f"with {_REG}, {_INDEX} select view, token, name, n, length::int as length, tf from postings"
+
+
+def _metaphone(x: str) -> str:
+    code = f"regexp_replace(upper(replace({x}, 'ß', 'ss')), '[^A-Z]', '', 'g')"
+    for letter in "ABDEFGHIJKLMNOPQRSTUVWXYZ":
+        code = f"regexp_replace({code}, '{letter}+', '{letter}', 'g')"
+    for pattern, replacement in RULES:
+        code = f"regexp_replace({code}, '{pattern}', '{replacement.replace('$', chr(92))}', 'g')"
+    return code
+
+
+_CODES = (
+    f"codes as (select token, {_metaphone('token')} as c from (select distinct unnest({_WORDS.format('name')}) as token from registry)),"
+    " sounds as (select token, nullif(substr(upper(translate(substr(c, 1, 1) || regexp_replace(substr(c, 2), '[AEIOU]', '', 'g'),"
+    f" '{SAME_SOUND[0]}', '{SAME_SOUND[1]}')), 1, {LONGEST}), '') as code from codes)"
+)
+ORACLES["sound_codes"] = f"with {_REG}, {_CODES} select token, code from sounds"
+
+
+def _index(prefix: str, rows: str, keep: str) -> str:
+    """CTE {prefix}toks of (keep, view, length, token) for rows with the words in w; needs `sounds`."""
+    heard = (
+        f"{prefix}heard as (select {keep}, unnest(list_distinct([t, code])) as token from"
+        f" (select {keep}, unnest(w) as t from {rows}) join sounds on token = t)"
+    )
+    return (
+        f"{heard}, {prefix}toks as (select {keep}, 'words' as view, len(w) as length, unnest(w) as token from {rows} union all"
+        f" select {keep}, 'autocomplete', len(g), unnest(g) from (select {keep}, flatten(list_transform(w, lambda t:"
+        f" list_transform(range(2, least(20, length(t)) + 1), lambda i: substr(t, 1, i)))) as g from {rows}) union all"
+        f" select {keep}, 'phonetic', (count(*) over (partition by {keep}))::bigint, token from {prefix}heard where token is not null)"
+    )
+
+
+_POSTINGS = (
+    f"named0 as (select name, count(*) as n, {_WORDS.format('name')} as w from registry group by name), {_index('x', 'named0', 'name, n')},"
+    " postings as (select view, token, name, n, length, count(*) as tf from xtoks group by view, token, name, n, length)"
+)
+_TEXTS = (
+    "texts as (select distinct trim(p) as t from (select unnest(regexp_split_to_array(text, '[.,\\n]')) as p from benchmark) where trim(p) <> '')"
+)
+ORACLES["name_index"] = f"with {_REG}, {_CODES}, {_POSTINGS} select view, token, name, n, length::int as length, tf from postings"
 _ASCII = "translate({0}, 'àâäáãçèéêëìíîïñòóôöõùúûüýßæøœ', '0123456789ABCDEFGHIJKLMNOPQRS')"
-ORACLES["fuzzy_terms"] = (
-    f"with {_REG}, {_INDEX}, terms as (select distinct token as term from postings where view = 'words'),"
-    " texts as (select distinct trim(p) as t from (select unnest(regexp_split_to_array(text, '[.,\\n]')) as p from benchmark) where trim(p) <> ''),"
-    f" q as (select distinct token, case when length(token) <= 2 then 0 when length(token) <= 5 then 1 else 2 end as edits"
+_FUZZY = (
+    "terms as (select distinct token as term from postings where view = 'words'), "
+    f"{_TEXTS}, q as (select distinct token, case when length(token) <= 2 then 0 when length(token) <= 5 then 1 else 2 end as edits"
     f" from (select unnest({_WORDS.format('t')}) as token from texts)),"
     f" d as (select token, term, edits, levenshtein({_ASCII.format('token')}, {_ASCII.format('term')}) as d from q join terms"
-    " on abs(length(token) - length(term)) <= edits)"
-    " select token, term, round(1.0 - d::double / least(length(token), length(term)), 6) as weight from d"
-    " where d <= edits and d < least(length(token), length(term))"
+    " on abs(length(token) - length(term)) <= edits), fuzzy as (select token, term, 1.0 - d::double / least(length(token), length(term))"
+    " as weight from d where d <= edits and d < least(length(token), length(term)))"
+)
+ORACLES["fuzzy_terms"] = f"with {_REG}, {_CODES}, {_POSTINGS}, {_FUZZY} select token, term, round(weight, 6) as weight from fuzzy"
+_QCODES = _CODES.replace("from registry)", f"from registry union select distinct unnest({_WORDS.format('t')}) from texts)")
+ORACLES["search_names"] = (
+    f"with {_REG}, {_TEXTS}, {_QCODES}, {_POSTINGS}, {_FUZZY.replace(_TEXTS + ', ', '')},"
+    f" asked as (select md5(t) as query_id, {_WORDS.format('t')} as w from texts), {_index('q', 'asked', 'query_id')},"
+    " wanted as (select query_id, view, token, count(*)::double as qtf from qtoks group by query_id, view, token),"
+    " weighted as (select query_id, view, term as token, sum(qtf * weight) as qtf from wanted join fuzzy using (token) where view = 'words'"
+    " group by query_id, view, term union all select * from wanted where view <> 'words'),"
+    " freq as (select view, token, sum(n)::double as df from postings group by view, token),"
+    " stats as (select view, sum(n)::double as docs, sum(n * length)::double / sum(n) as avg_length from"
+    " (select distinct view, name, n, length from postings) group by view),"
+    " priced as (select query_id, w.view, w.token, avg_length, qtf * ln(1.0 + (docs - df + 0.5) / (df + 0.5)) * case w.view"
+    " when 'words' then 3.0 when 'phonetic' then 2.0 else 1.0 end as w from weighted w join freq f on f.view = w.view and f.token = w.token"
+    " join stats s on s.view = w.view), scores as (select query_id, name, n, round(sum(w * tf / (tf + 1.2 * (0.25 + 0.75 * length / avg_length))), 6)"
+    " as score from priced p join postings x on x.view = p.view and x.token = p.token group by query_id, name, n)"
+    " select * from (select query_id, name, n, score, row_number() over (partition by query_id order by score desc, name)::int as rank from scores)"
+    " where rank <= 10"
 )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.functions import absent, similarity, text
+from recordloom.functions import absent, phonetic, similarity, text
 from recordloom.operators import (
     blocking,
     compare,
@@ -99,6 +99,12 @@ def absent_rules(spark, sf_dir):
     )
 
 
+@query
+def sound_codes(spark, sf_dir):
+    tokens = fx.registry(spark, sf_dir).select(F.explode(search.words(F.col("name"))).alias("token")).distinct()
+    return tokens.select("token", phonetic.metaphone(F.col("token")).alias("code"))
+
+
 @query
 def name_edge_ngrams(spark, sf_dir):
     named = fx.registry(spark, sf_dir).select("drugbank_id", F.explode(F.split(text.normalize_name(F.col("name")), " ")).alias("token"))
@@ -561,13 +567,8 @@ def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def name_index(spark, sf_dir):
-    """Postings of the word and prefix views."""
-    return _index(spark, sf_dir).where(F.col("view") != "phonetic")
-
-
-@query
-def name_index_phonetic(spark, sf_dir):
-    return _index(spark, sf_dir).where(F.col("view") == "phonetic")
+    """Postings of the word, sound and prefix views."""
+    return _index(spark, sf_dir)
 
 
 @query

@@ -1,29 +1,82 @@
-"""String similarity as Spark expressions; no Python worker is needed to compare two names."""
+"""String similarity. All but Jaro are Spark expressions; Jaro runs on Arrow batches with numpy."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.functions.text import token_set
 
-# A noncharacter: marks the letters of the second string that are already paired.
-_USED = "\uffff"
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind `value` once and use it several times in `body`."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _char(s: Column, i: Column) -> Column:
-    return F.substring(s, i, F.lit(1))
-
-
-def _positions(n: Column) -> Column:
-    return F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: i <= n)
+# Letters compared at once: bounds the memory of a batch whatever the length of its longest name.
+_CELLS = 4_000_000
+
+
+def _codes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of strings as a zero-padded matrix, and their lengths."""
+    fixed = np.asarray(words, dtype=str)
+    width = max(fixed.dtype.itemsize // 4, 1)
+    matrix = np.ascontiguousarray(fixed.astype(f"<U{width}")).view(np.uint32).reshape(len(fixed), width)
+    return matrix, np.char.str_len(fixed)
+
+
+def _front(matrix: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """The marked letters of each row, in order, moved to the front."""
+    return np.take_along_axis(matrix, np.argsort(~mask, axis=1, kind="stable"), axis=1)
+
+
+def jaro_of_batch(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Jaro similarity of non-empty strings, all rows at once and one letter of the left side a time."""
+    a, la = _codes(left)
+    b, lb = _codes(right)
+    reach = np.maximum(la, lb) // 2 - 1
+    place = np.arange(b.shape[1])
+    in_a, in_b = np.zeros(a.shape, dtype=bool), np.zeros(b.shape, dtype=bool)
+    rows = np.arange(len(a))
+    for i in range(a.shape[1]):
+        free = (b == a[:, i, None]) & ~in_b & (np.abs(place - i) <= reach[:, None]) & (i < la)[:, None]
+        first = free.argmax(axis=1)
+        hit = free[rows, first]
+        in_a[hit, i] = True
+        in_b[rows[hit], first[hit]] = True
+    m = in_a.sum(axis=1)
+    width = min(a.shape[1], b.shape[1])
+    moved = (_front(a, in_a)[:, :width] != _front(b, in_b)[:, :width]) & (np.arange(width) < m[:, None])
+    some = np.maximum(m, 1)
+    score = (m / la + m / lb + (m - moved.sum(axis=1) / 2.0) / some) / 3.0
+    return np.where(m == 0, 0.0, score)
+
+
+def jaro_array(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Jaro similarity of two string arrays; a NULL on either side gives NULL."""
+    a = np.array(left.to_pylist(), dtype=object)
+    b = np.array(right.to_pylist(), dtype=object)
+    out = np.full(len(a), np.nan)
+    known = np.array([x is not None and y is not None for x, y in zip(a, b)], dtype=bool)
+    la = np.array([len(x) if x is not None else 0 for x in a])
+    lb = np.array([len(x) if x is not None else 0 for x in b])
+    out[known & (la == 0) & (lb == 0)] = 1.0
+    out[known & ((la == 0) != (lb == 0))] = 0.0
+    same = known & (la > 0) & (a == b)
+    out[same] = np.where(la[same] == 1, 0.0, 1.0)
+    todo = np.flatnonzero(known & (la > 0) & (lb > 0) & ~same)
+    # Rows of like length go together, in slices of bounded size.
+    todo = todo[np.argsort(np.maximum(la[todo], lb[todo]), kind="stable")]
+    start = 0
+    while start < len(todo):
+        end = start + max(1, _CELLS // int(max(la[todo[start]], lb[todo[start]])))
+        longest = int(np.maximum(la, lb)[todo[start:end]].max())
+        part = todo[start : start + max(1, _CELLS // longest)]
+        out[part] = jaro_of_batch(a[part], b[part])
+        start += len(part)
+    return pa.array(out, mask=~known)
+
+
+# Declared nondeterministic so that the optimiser evaluates it once where it stands, instead of a
+# second time inside every filter on a value derived from it.
+_jaro = F.arrow_udf(jaro_array, T.DoubleType()).asNondeterministic()
 
 
 def levenshtein(a: Column, b: Column) -> Column:
@@ -39,57 +92,22 @@ def levenshtein_norm(a: Column, b: Column) -> Column:
 def jaro(a: Column, b: Column) -> Column:
     """Jaro similarity with window max/2 - 1 (so one-letter strings never pair) and halved
     transpositions kept as a fraction. Both empty gives 1, one empty 0."""
-    la, lb = F.length(a), F.length(b)
-    reach = F.floor(F.greatest(la, lb) / 2).cast("int") - 1
-
-    def pair_letter(state: Column, i: Column) -> Column:
-        first = F.greatest(F.lit(1), i - reach)
-        span = F.greatest(F.least(i + reach, lb) - first + 1, F.lit(0))
-        letter = _char(a, i)
-        at = F.instr(F.substring(state["rest"], first, span), letter)
-        return F.when(
-            at > 0,
-            F.struct(
-                F.overlay(state["rest"], F.lit(_USED), first + at - 1, F.lit(1)).alias("rest"),
-                F.concat(state["hits"], letter).alias("hits"),
-            ),
-        ).otherwise(state)
-
-    paired = F.aggregate(
-        _positions(la),
-        F.struct(b.alias("rest"), F.lit("").alias("hits")),
-        pair_letter,
-    )
+    return _jaro(a, b)
 
-    def score(p: Column) -> Column:
-        m = F.length(p["hits"])
-        other = F.array_join(
-            F.transform(
-                F.filter(_positions(lb), lambda j: _char(p["rest"], j) == _USED),
-                lambda j: _char(b, j),
-            ),
-            "",
-        )
-        moved = F.size(F.filter(_positions(m), lambda k: _char(p["hits"], k) != _char(other, k)))
-        md = m.cast("double")
-        return F.when(m == 0, F.lit(0.0)).otherwise((md / la + md / lb + (md - moved / 2.0) / md) / 3.0)
 
-    return (
-        F.when((la == 0) & (lb == 0), F.lit(1.0))
-        .when((la == 0) | (lb == 0), F.lit(0.0))
-        .when(a == b, F.when(la == 1, F.lit(0.0)).otherwise(F.lit(1.0)))
-        .otherwise(_let(paired, score))
-    )
+def winkler(jaro_score: Column, a: Column, b: Column, p: float = 0.1) -> Column:
+    """A Jaro score, raised by the common prefix (up to 4 letters) when it is at least 0.7."""
+    shorter = F.least(F.length(a), F.length(b))
+    prefix = F.lit(0)
+    for k in range(1, 5):
+        prefix = prefix + ((shorter >= k) & (F.substring(a, 1, k) == F.substring(b, 1, k))).cast("int")
+    return F.when(jaro_score < 0.7, jaro_score).otherwise(jaro_score + prefix * F.lit(p) * (1.0 - jaro_score))
 
 
-def jaro_winkler(a: Column, b: Column, p: float = 0.1) -> Column:
-    """Jaro, raised by the common prefix (up to 4) when it is at least 0.7."""
-    shorter = F.least(F.length(a), F.length(b))
-    prefix = sum(
-        [((shorter >= k) & (F.substring(a, 1, k) == F.substring(b, 1, k))).cast("int") for k in range(2, 5)],
-        ((shorter >= 1) & (F.substring(a, 1, 1) == F.substring(b, 1, 1))).cast("int"),
-    )
-    return _let(jaro(a, b), lambda j: F.when(j < 0.7, j).otherwise(j + prefix * F.lit(p) * (1.0 - j)))
+def with_jaro_winkler(df: DataFrame, a: str, b: str, jaro_col: str = "jaro", out: str = "name_jaro_winkler") -> DataFrame:
+    """Add the Jaro and Jaro-Winkler similarity of two string columns."""
+    scored = df.withColumn(jaro_col, jaro(F.col(a), F.col(b)))
+    return scored.withColumn(out, winkler(F.col(jaro_col), F.col(a), F.col(b)))
 
 
 def token_jaccard(norm_a: Column, norm_b: Column) -> Column:

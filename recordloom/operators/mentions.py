@@ -21,25 +21,24 @@ def mention_rows(texts: DataFrame, names: DataFrame, id_col: str = "doc_id") ->
     names if their measured size allows, otherwise both sides are shuffled on the hash.
     """
     worded = texts.select(id_col, _tokens(F.col("text")).alias("tokens")).where(F.size("tokens") > 0)
-    known = names.select(_tokens(F.col("name")).alias("words")).where(F.size("words") > 0).distinct()
-
-    def grams(words: Column, n: int) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: i <= F.size(words) - n + 1)
-        return F.transform(
-            starts,
-            lambda i: F.struct(i.cast("int").alias("at"), F.xxhash64(F.lit(n), F.slice(words, i, F.lit(n))).alias("h")),
-        )
-
-    def width(words: Column, i: Column) -> Column:
-        return F.length(F.get(words, i - 1)) + F.length(F.get(words, i))
-
-    pairs = grams(F.col("words"), 2)
-    ranked = F.array_sort(F.transform(pairs, lambda g: F.struct((-width(F.col("words"), g["at"])).alias("w"), g.alias("g"))))
-    anchor = F.when(F.size("words") == 1, F.get(grams(F.col("words"), 1), F.lit(0))).otherwise(F.get(ranked, F.lit(0))["g"])
-    anchored = known.select("words", anchor.alias("g")).select("words", F.col("g.at").alias("offset"), F.col("g.h").alias("h"))
-
-    spots = worded.select(id_col, F.explode(F.concat(grams(F.col("tokens"), 1), grams(F.col("tokens"), 2))).alias("s"))
-    near = spots.select(id_col, "s.at", "s.h").join(anchored, "h")
+    known = names.select(_tokens(F.col("name")).alias("tokens")).where(F.size("tokens") > 0).distinct()
+
+    def pairs(df: DataFrame, *keep: str) -> DataFrame:
+        """(keep, at, first, second) of every word and its successor; NULL after the last word."""
+        two = F.arrays_zip(F.col("tokens").alias("first"), F.slice("tokens", 2, F.size("tokens")).alias("second"))
+        return df.select(*keep, F.posexplode(two).alias("at", "two")).select(*keep, "at", "two.first", "two.second")
+
+    one_hash, pair_hash = F.xxhash64(F.lit(1), "first"), F.xxhash64(F.lit(2), "first", "second")
+    width = F.when(F.col("second").isNull(), -1).otherwise(F.length("first") + F.length("second"))
+    anchor = F.max_by(F.struct("at", one_hash.alias("h1"), pair_hash.alias("h2")), F.struct(width, -F.col("at")))
+    anchored = pairs(known, "tokens").groupBy("tokens").agg(anchor.alias("g")).select(
+        F.col("tokens").alias("words"),
+        F.col("g.at").alias("offset"),
+        F.when(F.size("tokens") == 1, F.col("g.h1")).otherwise(F.col("g.h2")).alias("h"),
+    )
+    hashes = F.array_compact(F.array(one_hash, F.when(F.col("second").isNotNull(), pair_hash)))
+    spots = pairs(worded, id_col).select(id_col, "at", F.explode(hashes).alias("h"))
+    near = spots.join(anchored, "h")
     places = near.select(id_col, (F.col("at") - F.col("offset") + 1).alias("position"), "words").where(F.col("position") >= 1)
     same = (places[id_col] == worded[id_col]) & (F.slice("tokens", F.col("position"), F.size("words")) == F.col("words"))
     return places.join(worded, same).select(places[id_col], "position", F.array_join("words", " ").alias("name"))

@@ -75,12 +75,13 @@ def string_similarity(spark, sf_dir):
     named = named.withColumn("short", text.drop_salts(F.col("norm")))
     after = named.select((F.col("doc_id") - 1).alias("doc_id"), F.col("norm").alias("norm2"), F.col("short").alias("short2"))
     a, b = F.col("short"), F.col("short2")
-    return named.join(after, "doc_id").select(
+    both = similarity.with_jaro_winkler(named.join(after, "doc_id"), "short", "short2", out="jaro_winkler")
+    return both.select(
         "doc_id",
         similarity.levenshtein(a, b).alias("lev"),
         F.round(similarity.levenshtein_norm(a, b), 6).alias("lev_norm"),
-        F.round(similarity.jaro(a, b), 6).alias("jaro"),
-        F.round(similarity.jaro_winkler(a, b), 6).alias("jaro_winkler"),
+        F.round("jaro", 6).alias("jaro"),
+        F.round("jaro_winkler", 6).alias("jaro_winkler"),
         F.round(similarity.token_jaccard(F.col("norm"), F.col("norm2")), 6).alias("jaccard"),
     )
 

@@ -110,16 +110,21 @@ def with_jaro_winkler(df: DataFrame, a: str, b: str, jaro_col: str = "jaro", out
     return scored.withColumn(out, winkler(F.col(jaro_col), F.col(a), F.col(b)))
 
 
-def token_jaccard(norm_a: Column, norm_b: Column) -> Column:
-    """Overlap of the token sets of two normalised names; both empty gives 1, one empty 0."""
-    ta, tb = token_set(norm_a), token_set(norm_b)
+def set_jaccard(ta: Column, tb: Column) -> Column:
+    """Overlap of two arrays of distinct tokens; both empty gives 1, one empty 0."""
+    common = F.size(F.array_intersect(ta, tb))
     return (
         F.when((F.size(ta) == 0) & (F.size(tb) == 0), F.lit(1.0))
         .when((F.size(ta) == 0) | (F.size(tb) == 0), F.lit(0.0))
-        .otherwise(F.size(F.array_intersect(ta, tb)).cast("double") / F.size(F.array_union(ta, tb)))
+        .otherwise(common.cast("double") / (F.size(ta) + F.size(tb) - common))
     )
 
 
+def token_jaccard(norm_a: Column, norm_b: Column) -> Column:
+    """Overlap of the token sets of two normalised names."""
+    return set_jaccard(token_set(norm_a), token_set(norm_b))
+
+
 def agree(a: Column, b: Column) -> Column:
     """Both present, non-empty and equal; never NULL."""
     return F.coalesce((a == b) & (a != ""), F.lit(False))

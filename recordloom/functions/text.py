@@ -19,11 +19,15 @@ SALT_WORDS = [
 ]
 
 
-@F.arrow_udf(T.StringType())
-def _nfkd(values: pa.Array) -> pa.Array:
+def _decompose(values: pa.Array) -> pa.Array:
     return pc.utf8_normalize(values, form="NFKD")
 
 
+# Declared nondeterministic so that the optimiser runs it once where it stands, instead of again inside
+# every filter and join condition on a value derived from it.
+_nfkd = F.arrow_udf(_decompose, T.StringType()).asNondeterministic()
+
+
 def normalize_name(c: Column) -> Column:
     """Decompose, drop accents, lower-case, punctuation to spaces, single spaces; NULL gives ''."""
     # Unicode decomposition is the one step Spark has no expression for.

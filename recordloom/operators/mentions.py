@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions.text import normalize_name
+from recordloom.partitioning import by_work
 
 
-def _tokens(c: Column) -> Column:
-    return F.filter(F.split(normalize_name(c), " "), lambda t: t != "")
+def _tokens(normalized: Column) -> Column:
+    return F.filter(F.split(normalized, " "), lambda t: t != "")
 
 
 def mention_rows(texts: DataFrame, names: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -19,9 +20,13 @@ def mention_rows(texts: DataFrame, names: DataFrame, id_col: str = "doc_id") ->
     (its word, if it has only one): a text yields one short hash per word and per word pair. Places
     where the hash meets a name are then checked word by word against the text. Spark broadcasts the
     names if their measured size allows, otherwise both sides are shuffled on the hash.
+
+    Normalised texts are partitioned by id once; finding and checking both read that exchange.
     """
-    worded = texts.select(id_col, _tokens(F.col("text")).alias("tokens")).where(F.size("tokens") > 0)
-    known = names.select(_tokens(F.col("name")).alias("tokens")).where(F.size("tokens") > 0).distinct()
+    plain = texts.select(id_col, normalize_name(F.col("text")).alias("norm"))
+    placed = by_work(plain, id_col)
+    worded = placed.select(id_col, _tokens(F.col("norm")).alias("tokens"))
+    known = names.select(_tokens(normalize_name(F.col("name"))).alias("tokens")).where(F.size("tokens") > 0).distinct()
 
     def pairs(df: DataFrame, *keep: str) -> DataFrame:
         """(keep, at, first, second) of every word and its successor; NULL after the last word."""
@@ -40,7 +45,8 @@ def mention_rows(texts: DataFrame, names: DataFrame, id_col: str = "doc_id") ->
     spots = pairs(worded, id_col).select(id_col, "at", F.explode(hashes).alias("h"))
     near = spots.join(anchored, "h")
     places = near.select(id_col, (F.col("at") - F.col("offset") + 1).alias("position"), "words").where(F.col("position") >= 1)
-    same = (places[id_col] == worded[id_col]) & (F.slice("tokens", F.col("position"), F.size("words")) == F.col("words"))
+    # Null-safe, or the filter the optimiser derives from it would keep the exchange from being shared.
+    same = (places[id_col] == worded[id_col]) & F.slice("tokens", F.col("position"), F.size("words")).eqNullSafe(F.col("words"))
     return places.join(worded, same).select(places[id_col], "position", F.array_join("words", " ").alias("name"))
 
 

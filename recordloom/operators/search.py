@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions.phonetic import metaphone
 from recordloom.functions.text import edge_ngrams
+from recordloom.partitioning import by_work
 
 # View -> weight in the combined score.
 BOOSTS = {"words": 3.0, "phonetic": 2.0, "autocomplete": 1.0}
@@ -76,7 +77,7 @@ def fuzzy_terms(query_tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     weigh 1, others 1 - edits / shorter length."""
     q = query_tokens.select("token").distinct().withColumn("edits", allowed_edits(F.col("token")))
     left = q.select("token", "edits", F.explode(F.when(F.col("edits") == 0, F.array("token")).otherwise(_deletions(F.col("token")))).alias("key"))
-    right = vocabulary.select("term", F.explode(_deletions(F.col("term"))).alias("key"))
+    right = by_work(vocabulary, "term").select("term", F.explode(_deletions(F.col("term"))).alias("key"))
     near = left.join(right, "key").select("token", "term", "edits").distinct()
     distance = F.levenshtein("token", "term")
     kept = near.withColumn("d", distance).where(F.col("d") <= F.col("edits"))
@@ -112,6 +113,8 @@ def search_names(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame
     )
     tf, length = F.col("tf").cast("double"), F.col("length")
     gain = F.col("w") * tf / (tf + K1 * (1.0 - B + B * length / F.col("avg_length")))
-    hits = priced.join(index, ["view", "token"]).groupBy("query_id", "name", "n").agg(F.round(F.sum(gain), 6).alias("score"))
+    # Partitioned by query, so that the sums and the ranking need no further exchange while the postings
+    # are small enough to be broadcast.
+    hits = by_work(priced, "query_id").join(index, ["view", "token"]).groupBy("query_id", "name", "n").agg(F.round(F.sum(gain), 6).alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "name"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k)

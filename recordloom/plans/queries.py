@@ -423,13 +423,17 @@ def pair_features(spark, sf_dir):
     return found.withColumns({c: F.round(c, 6) for c in graded})
 
 
-def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.feature_frame(fx.registry(spark, sf_dir), unique_ids=True)
-
-
 @query
 def feature_frame(spark, sf_dir):
-    return _frame(spark, sf_dir).withColumns({c: F.round(c, 6) for c in compare.FEATURES})
+    frame = resolve.feature_frame(fx.registry(spark, sf_dir), unique_ids=True)
+    return frame.withColumns({c: F.round(c, 6) for c in compare.FEATURES})
+
+
+def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature frame as saved and read back between the linkage and the labelling jobs."""
+    path = new_path(spark, "pairs")
+    table_sink.write_pairs(resolve.feature_frame(fx.registry(spark, sf_dir), unique_ids=True), path)
+    return tables.read_pairs(spark, path)
 
 
 @query
@@ -505,15 +509,14 @@ def label_retention(spark, sf_dir):
 
 @query
 def label_model(spark, sf_dir):
-    votes = written(weak.weak_votes(_frame(spark, sf_dir)), "votes")
-    labelled = weak.label_model(votes, "n_pairs")
+    labelled = weak.label_model(weak.weak_votes(_frame(spark, sf_dir)), "n_pairs")
     return labelled.select("id_a", "id_b", "label", "prob_match")
 
 
 @query
 def gbt_matcher(spark, sf_dir):
     """Matcher trained on the weak labels and applied to every candidate pair."""
-    frame = written(_frame(spark, sf_dir), "frame")
+    frame = _frame(spark, sf_dir)
     labelled = written(weak.label_model(weak.weak_votes(frame), "n_pairs"), "labelled")
     model = gbt.train_gbt(labelled.select("label", "n_pairs", *compare.FEATURES), weight="n_pairs")
     return gbt.score_gbt(model, frame).select("id_a", "id_b", "prob_match", "prediction")

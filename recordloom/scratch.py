@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def scratch_dir(spark: SparkSession) -> str:
     """Shared scratch folder. A local session without one gets its own; a cluster must name one."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="recordloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="recordloom-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 

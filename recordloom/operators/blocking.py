@@ -111,17 +111,26 @@ def _join_rules(model: LinkModel, threshold: float) -> list[tuple[str, tuple[str
     return sorted(r for r in rules if not covered(r))
 
 
-def shared_token_keys(norm_name: Column, at_least: float) -> Column:
-    """Tokens such that any two names with Jaccard >= `at_least` have one of them in common: after
-    dropping all but a few of the longest tokens, the overlap can no longer be reached without one.
-    Empty names share the empty token."""
-    ranked = F.transform(
-        F.array_sort(F.transform(token_set(norm_name), lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))),
-        lambda s: s["t"],
+def token_keys(rows: DataFrame, at_least: float) -> DataFrame:
+    """(key, id) from rows (id, context, norm_name), such that any two names of a context whose token
+    sets have Jaccard >= `at_least` get a key in common.
+
+    Of each name the rarest tokens of the context are kept, as many as it takes: without one of them in
+    common, two names cannot reach the overlap. Words that most of a context shares are left out
+    wherever the name has others. Names without tokens share the empty token.
+    """
+    tokens = token_set(F.col("norm_name"))
+    words = F.when(F.size(tokens) == 0, F.array(F.lit(""))).otherwise(tokens)
+    spread = rows.select("id", "context", F.explode(words).alias("token"))
+    held = spread.groupBy("context", "token").agg(F.count("*").alias("n"))
+    # One list per name, no longer than the name.
+    ranked = spread.join(held, ["context", "token"]).groupBy("id", "context").agg(
+        F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ranked")
     )
-    n = F.size(ranked)
-    needed = F.ceil(n * F.lit(at_least) - F.lit(1e-9)).cast("int")
-    return F.when(n == 0, F.array(F.lit(""))).otherwise(F.slice(ranked, F.lit(1), n - needed + 1))
+    size = F.size("ranked")
+    needed = F.ceil(size * F.lit(at_least) - F.lit(1e-9)).cast("int")
+    kept = ranked.select("id", "context", F.explode(F.slice("ranked", F.lit(1), size - needed + 1)).alias("r"))
+    return kept.where(F.col("r.n") > 1).select(F.xxhash64("context", "r.token").alias("key"), "id")
 
 
 def pairs_on_key(keyed: DataFrame, chunk: int = 2000) -> DataFrame:
@@ -143,24 +152,24 @@ def pairs_on_key(keyed: DataFrame, chunk: int = 2000) -> DataFrame:
 def decisive_pairs(profs: DataFrame, model: LinkModel = LinkModel(), threshold: float = 0.45) -> DataFrame:
     """(id_a, id_b) of every pair of profiles in a common block that can reach `threshold`."""
 
-    def hashed(tokens: Column, *context: Column) -> Column:
-        return F.transform(tokens, lambda t: F.xxhash64(*context, t))
-
-    keys, token_keys = [], []
+    keys, keyed = [], []
     for i, (block, ids, tokens) in enumerate(_join_rules(model, threshold)):
         columns = [F.col(block), *[F.col(IDENTIFIERS[f]) for f in ids]]
         present = columns[0].isNotNull()
         for c in columns[1:]:
             present = present & c.isNotNull()
+        # 64-bit keys keep the shuffle narrow; a chance collision only adds a pair to compare.
+        context = F.xxhash64(F.lit(i), *columns)
         if tokens:
-            shared = hashed(shared_token_keys(F.col("norm_name"), AGREES_FROM["token_jaccard"]), F.lit(i), *columns)
-            token_keys.append(F.when(present, shared).otherwise(F.array().cast("array<bigint>")))
+            rows = profs.where(present).select("id", context.alias("context"), "norm_name")
+            keyed.append(token_keys(rows, AGREES_FROM["token_jaccard"]))
         else:
-            keys.append(F.when(present, F.xxhash64(F.lit(i), *columns)))
+            keys.append(F.when(present, context))
     plain = F.array_compact(F.array(*keys)) if keys else F.array().cast("array<bigint>")
-    # 64-bit keys keep the shuffle narrow; a chance collision only adds a pair the comparison rejects.
-    keyed = profs.select(F.explode(F.concat(plain, *token_keys)).alias("key"), "id")
-    return pairs_on_key(keyed)
+    every = profs.select(F.explode(plain).alias("key"), "id")
+    for part in keyed:
+        every = every.unionByName(part)
+    return pairs_on_key(every)
 
 
 def copy_pairs(profs: DataFrame) -> DataFrame:

@@ -21,13 +21,22 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}\p{M}_]+(?:['’.][\p{L}\p{N}\p{M}_]+)*)"), F.lit(1))
 
 
-def views(c: Column) -> Column:
-    """Array of (view, tokens). The phonetic view keeps the word beside its code."""
-    w = words(c)
-    sounds = F.flatten(F.transform(w, lambda t: F.array_distinct(F.array_compact(F.array(t, metaphone(t))))))
-    grams = F.flatten(F.transform(w, lambda t: edge_ngrams(t)))
-    parts = {"words": w, "phonetic": sounds, "autocomplete": grams}
-    return F.array(*[F.struct(F.lit(v).alias("view"), tokens.alias("tokens")) for v, tokens in parts.items()])
+def view_tokens(df: DataFrame, text: str, *keys: str) -> DataFrame:
+    """(keys, view, length, token): the tokens of a text in the three views and how many each view has.
+    The phonetic view keeps the word beside its code; codes are made once per distinct word."""
+    worded = df.select(*keys, words(F.col(text)).alias("w"))
+    parts = {"words": F.col("w"), "autocomplete": F.flatten(F.transform("w", lambda t: edge_ngrams(t)))}
+    viewed = F.array(*[F.struct(F.lit(v).alias("view"), tokens.alias("tokens")) for v, tokens in parts.items()])
+    spelled = worded.select(*keys, F.explode(viewed).alias("v")).select(
+        *keys, "v.view", F.size("v.tokens").alias("length"), F.explode("v.tokens").alias("token")
+    )
+    spoken = worded.select(*keys, F.explode("w").alias("word"))
+    codes = by_work(spoken.select("word").distinct(), "word").select("word", metaphone(F.col("word")).alias("code"))
+    both = F.explode(F.array_distinct(F.array_compact(F.array("word", "code")))).alias("token")
+    heard = spoken.join(codes, "word").select(*keys, both)
+    # One text per window.
+    length = F.count("*").over(W.partitionBy(*keys)).cast("int")
+    return spelled.unionByName(heard.select(*keys, F.lit("phonetic").alias("view"), length.alias("length"), "token"))
 
 
 def distinct_names(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
@@ -38,8 +47,7 @@ def distinct_names(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
 def build_name_index(names: DataFrame) -> DataFrame:
     """(view, token, name, n, tf, length): postings of the distinct names of `distinct_names`; `length`
     is the number of tokens the name has in the view."""
-    viewed = names.select("name", "n", F.explode(views(F.col("name"))).alias("v"))
-    tokens = viewed.select("name", "n", "v.view", F.size("v.tokens").alias("length"), F.explode("v.tokens").alias("token"))
+    tokens = view_tokens(names, "name", "name", "n")
     return tokens.groupBy("view", "token", "name", "n", "length").agg(F.count("*").alias("tf"))
 
 
@@ -91,9 +99,7 @@ def search_names(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame
     The score is the sum over the three views of boost * BM25; a name needs a hit in one view. Document
     counts and lengths are those of records, so a name borne by many records counts as often.
     """
-    viewed = queries.select("query_id", F.explode(views(F.col("text"))).alias("v"))
-    terms = viewed.select("query_id", "v.view", F.explode("v.tokens").alias("token"))
-    wanted = terms.groupBy("query_id", "view", "token").agg(F.count("*").cast("double").alias("qtf"))
+    wanted = view_tokens(queries, "text", "query_id").groupBy("query_id", "view", "token").agg(F.count("*").cast("double").alias("qtf"))
 
     word_terms = wanted.where(F.col("view") == "words")
     vocabulary = index.where(F.col("view") == "words").select(F.col("token").alias("term")).distinct()

@@ -151,7 +151,6 @@ def pairs_on_key(keyed: DataFrame, chunk: int = 2000) -> DataFrame:
 
 def decisive_pairs(profs: DataFrame, model: LinkModel = LinkModel(), threshold: float = 0.45) -> DataFrame:
     """(id_a, id_b) of every pair of profiles in a common block that can reach `threshold`."""
-
     keys, keyed = [], []
     for i, (block, ids, tokens) in enumerate(_join_rules(model, threshold)):
         columns = [F.col(block), *[F.col(IDENTIFIERS[f]) for f in ids]]

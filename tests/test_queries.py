@@ -18,6 +18,8 @@ def con():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, name):
     df = queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     got = df.collect()
     assert got
     if name in oracle_sql():
@@ -27,14 +29,6 @@ def test_query(spark, con, name):
         assert check._rows(df.columns, got) == check._rows(columns, want)
 
 
-def test_no_query_pairs_everything(spark):
-    for name, run in queries().items():
-        if name in {"gbt_matcher", "isolation_forest", "top_anomalies"}:
-            continue
-        plan = run(spark, SF)._jdf.queryExecution().toString()
-        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
-
-
 def test_entry(spark):
     rows = entry(spark)
     assert rows.columns == ["id_a", "id_b", "reasons", "summary"] and rows.count() > 0

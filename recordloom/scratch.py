@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared scratch folder. A local session without one gets its own; a cluster must name one."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not root:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="recordloom-"))
-        root = sc.getCheckpointDir()
-    return root.rstrip("/")
+    """The folder named in `spark.checkpoint.dir`, or else one in the warehouse, which a session's executors
+    share as well."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -4,7 +4,35 @@ from __future__ import annotations
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
 ORACLES = {
+    "op5_warc_transactions": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS hexes FROM p),
+h AS (SELECT *, max(page_id) OVER (PARTITION BY hexes) AS holder FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('{_BASE32}',
+           1 + (((('0x' || substr(hexes, 1 + 5 * (i // 4)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31))::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = holder THEN NULL ELSE holder END AS refers_to,
+       true AS complete
+FROM h
+""",
+    "op6_group_jaccard": f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+t AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+f AS (SELECT x FROM t GROUP BY x HAVING count(*) > 1),
+u AS (SELECT t.* FROM t JOIN f USING (x)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+      FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p WHERE 100 * c >= 80 * (na + nb - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id WHERE r.c < e.b)
+SELECT s.doc_id, len(sh) AS n_shingles, m.c AS component_id FROM s JOIN (SELECT id, min(c) AS c FROM r GROUP BY id) m ON m.id = s.doc_id
+""",
     "op7_wu_manber": f"""
 WITH dw AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
 iw AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL),

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import decontaminate, language, linear, packing, quality, toxicity
+from recordloom.llm import decontaminate, jaccard, language, linear, neighbours, packing, quality, toxicity, warc
+from recordloom.scratch import new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,12 +45,34 @@ def op3_quality_pu(spark, sf_dir):
     return _scored(quality.score(documents, weights), 0.3)
 
 
+@query
+def op5_warc_transactions(spark, sf_dir):
+    path = new_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    # Headers are small; the joins read them several times.
+    found = warc.captures(written(warc.read_archives(spark, path, payloads=False), "warc-records"))
+    complete = F.col("request").isNotNull() & (F.size("metadata") == 1)
+    return found.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to_page").alias("refers_to"), complete.alias("complete")
+    )
+
+
+@query
+def op6_group_jaccard(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_wu_manber(spark, sf_dir):
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.summary(found)
 
 
+@query
+def op8_nn_descent(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), every=100)
+
+
 @query
 def op9_language_spans(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")

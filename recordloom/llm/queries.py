@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import decontaminate, jaccard, language, linear, neighbours, packing, quality, toxicity, warc
+from recordloom.llm import decontaminate, jaccard, language, linear, neighbours, packing, quality, suffixes, surrogates, toxicity, warc
 from recordloom.scratch import new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: A session would take this from a secret store.
+SURROGATE_KEY = "recordloom-surrogates"
 
 
 def query(f: Query) -> Query:
@@ -38,6 +40,12 @@ def op1_toxicity_mil(spark, sf_dir):
     return _scored(toxicity.score(documents, weights), 0.5)
 
 
+@query
+def op2_pii_surrogates(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace(documents, SURROGATE_KEY)
+
+
 @query
 def op3_quality_pu(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
@@ -45,6 +53,11 @@ def op3_quality_pu(spark, sf_dir):
     return _scored(quality.score(documents, weights), 0.3)
 
 
+@query
+def op4_suffix_dedup(spark, sf_dir):
+    return suffixes.digests(suffixes.removed(table(spark, sf_dir, "documents")))
+
+
 @query
 def op5_warc_transactions(spark, sf_dir):
     path = new_path(spark, "warc")

@@ -224,7 +224,7 @@ def identify(documents: DataFrame, model: Model, penalty: float = 12.0) -> DataF
                     opens = np.ones(len(label), dtype=bool)
                     opens[1:] = (label[1:] != label[:-1]) | (owner[1:] != owner[:-1])
                     first = np.flatnonzero(opens)
-                    last = np.append(first[1:], len(label)) - 1
+                    last = np.append(first[1:], len(label))[: len(first)] - 1
                     shift = base[owner[first]]
                     at = np.concatenate([[0], np.cumsum(np.bincount(owner[first], minlength=n))])
                     parts = [pa.array(names[label[first]].tolist(), type=pa.string()), pa.array(w.starts[first] - shift), pa.array(w.ends[last] - shift)]

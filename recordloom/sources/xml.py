@@ -1,4 +1,4 @@
-"""Entity records from registry XML, one row per record element, read in parallel splits."""
+"""Entity records from registry XML, one row per record element. Spark reads one file per task."""
 
 from __future__ import annotations
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -84,7 +85,7 @@ def merge_by_name(
     """Left join on the salt-free normalised name, then fill.
 
     A source with several rows of one name gives one output row per match. `on_duplicate="first"`
-    reduces the source to its smallest row per name first (a map-side combined aggregate), so the
+    reduces the source to its fullest row per name first (a map-side combined aggregate), so the
     output has exactly the rows of `base` however often a name repeats on either side.
     """
     renamed = {column: f"_src_{column}" for column in fills}
@@ -93,8 +94,7 @@ def merge_by_name(
         *[F.nullif(F.col(origin), F.lit("")).alias(renamed[column]) for column, origin in fills.items()],
     )
     if on_duplicate == "first":
-        row = F.min(F.struct(*renamed.values())).alias("_row")
-        keyed = keyed.groupBy("_key").agg(row).select("_key", "_row.*")
+        keyed = keyed.groupBy("_key").agg(fullest(renamed.values()).alias("_row")).select("_key", "_row.*").drop("_absent")
     joined = base.withColumn("_key", strip_salts(F.col("name"))).join(keyed, "_key", "left")
     return fill_missing(joined, {c: F.col(r) for c, r in renamed.items()}, audit).drop("_key", *renamed.values())
 
@@ -165,8 +165,14 @@ def corroborate(base: DataFrame, evidence: DataFrame) -> DataFrame:
     return out.select("drugbank_id", "chembl_id", found.alias("evidence_chembl_id"), status.alias("status"))
 
 
+def fullest(columns: Iterable[str]) -> Column:
+    """Aggregate: of rows the one with the most values present, the smallest of equally full ones."""
+    columns = list(columns)
+    absent = sum((F.col(c).isNull().cast("int") for c in columns), F.lit(0))
+    return F.min(F.struct(absent.alias("_absent"), *columns))
+
+
 def one_row_per_id(df: DataFrame, key: str = "drugbank_id") -> DataFrame:
-    """One row per id, the smallest when merges have multiplied it."""
+    """One row per id, the fullest when merges have multiplied it."""
     rest = [c for c in df.columns if c != key]
-    row = F.min(F.struct(*rest)).alias("_row")
-    return df.groupBy(key).agg(row).select(key, "_row.*").select(*df.columns)
+    return df.groupBy(key).agg(fullest(rest).alias("_row")).select(key, "_row.*").select(*df.columns)

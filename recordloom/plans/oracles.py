@@ -268,8 +268,9 @@ def _keyed(name: str, sql: str) -> str:
 
 
 def _first(name: str, columns: list[str]) -> str:
-    """Smallest row per name, absent values first."""
-    order = ", ".join(f"{c} nulls first" for c in columns)
+    """Fullest row per name, then the smallest."""
+    absent = " + ".join(f"(nullif({c}, '') is null)::int" for c in columns)
+    order = ", ".join([absent, *[f"{c} nulls first" for c in columns]])
     return (
         f"{name}_first as (select * from (select *, row_number() over (partition by short order by {order}) as rn from {name}) where rn = 1)"
     )
@@ -360,7 +361,8 @@ ORACLES["one_row_per_id"] = (
     f"with {_REG}, {_NORM}, {_keyed('ttd', fx.TTD)}, f as (select b.drugbank_id, s.ttd_id, coalesce(b.cas_num, s.cas_num) as cas_num,"
     " coalesce(b.pubchem_cid, s.pubchem_cid) as pubchem_cid from named b left join ttd s on b.short = s.short)"
     " select drugbank_id, ttd_id, cas_num, pubchem_cid from (select *, row_number() over (partition by drugbank_id"
-    " order by ttd_id nulls first, cas_num nulls first, pubchem_cid nulls first) as rn from f) where rn = 1"
+    " order by (ttd_id is null)::int + (cas_num is null)::int + (pubchem_cid is null)::int,"
+    " ttd_id nulls first, cas_num nulls first, pubchem_cid nulls first) as rn from f) where rn = 1"
 )
 
 # ---- entity resolution -----------------------------------------------------------------------------

@@ -171,3 +171,4 @@ def test_repeated_ids_are_reduced(spark):
     rows = [("DB1", "x name", "1", "2", None, None), ("DB1", "x name", None, None, None, None), ("DB2", "x name", "1", "2", None, None)]
     profs = blocking.profiles(records(spark, rows)).collect()
     assert sum(r["n"] for r in profs) == 2
+    assert [(r["id_a"], r["id_b"]) for r in top_links(records(spark, rows), k=5).collect()] == [("DB1", "DB2")]

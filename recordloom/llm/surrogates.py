@@ -3,12 +3,13 @@
 Entities are found by one pattern: e-mail addresses, telephone numbers, IPv4 addresses, card numbers, access
 keys, secrets after their names, and persons after a form of address. A value gets the surrogate that a key and
 a hash of the value select, in the form of the value: digits stay digits and letters letters of their case,
-hexadecimal stays hexadecimal, octets stay octets, a valid card number stays valid, country codes, top-level
+hexadecimal stays hexadecimal of its case, octets stay octets, a valid card number stays valid, country codes, top-level
 domains, forms of address and key prefixes stay as they are, and a name gets a made-up name of its gender and
 script. Equal values get equal surrogates wherever they stand. Different values get different ones, and none that
 stands in the texts as a value: all are checked, and those that clash try again, the smallest value first.
 
-E-mail addresses that differ in case are one value. Null texts stay null; empty ones and texts without entities
+Names of secrets and forms of address count in any case. E-mail addresses, and secrets in hexadecimal, that
+differ in case are one value; a secret is the same after any name. Null texts stay null; empty ones and texts without entities
 stay as they are. Rows may repeat: a text's entities are looked up once. Every column of the documents is
 kept, `text` is replaced. Empty tables give empty results.
 """
@@ -23,7 +24,8 @@ from recordloom.scratch import written
 # Possessive: a shorter run is never followed by an @.
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+"
 ACCESS_KEY = r"\bAKIA[0-9A-Z]{16}\b"
-_SECRET_NAME = r"\b(?:password|passwd|token|secret|api_key|apikey)\s?[=:]\s?[\"']?"
+SECRET_NAMES = ["password", "passwd", "token", "secret", "api_key", "apikey"]
+_SECRET_NAME = rf"\b(?i:{'|'.join(SECRET_NAMES)})\s?[=:]\s?[\"']?"
 SECRET = _SECRET_NAME + r"[A-Za-z0-9+/_-]{12,512}"
 IP = r"\b\d{1,3}(?:\.\d{1,3}){3}\b"
 PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}\b"
@@ -31,8 +33,9 @@ CARD = r"\b\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}\b"
 #: Forms of address, by gender (fixed values).
 MALE = ["Mr", "Herr", "Monsieur", "Señor", "Господин"]
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа"]
-_ADDRESS = rf"(?:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.? "
-PERSON = _ADDRESS + r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?"
+_ADDRESS = rf"(?<![\p{{L}}\p{{N}}_])(?iu:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.? "
+_PART = r"\p{Lu}\p{L}+"
+PERSON = _ADDRESS + rf"{_PART}(?: {_PART})?"
 #: In this order, which decides where two could begin at one place.
 KINDS = {"email": EMAIL, "access_key": ACCESS_KEY, "secret": SECRET, "person": PERSON, "ip": IP, "phone": PHONE, "card": CARD}
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
@@ -44,9 +47,16 @@ _CYRILLIC = ["ба", "де", "фи", "го", "ку", "ла", "ме", "ни", "п
 def _holds(text: Column) -> Column:
     """Whether the pattern matches. Plain searches for what every match contains come first: they rule out
     most texts without trying the pattern at each place."""
-    maybe = text.contains("@")
-    for part in ["AKIA", "password", "passwd", "token", "secret", "api_key", "apikey", *MALE, *FEMALE]:
-        maybe = maybe | text.contains(part)
+
+
+    def plain(lowered: Column) -> Column:
+        found = F.lit(False)
+        for part in sorted({p.lower() for p in [*SECRET_NAMES, *MALE, *FEMALE]}):
+            found = found | lowered.contains(part)
+        return found
+
+    # In an array, so that the text is put in lower case once.
+    maybe = text.contains("@") | text.contains("AKIA") | F.exists(F.array(F.lower(text)), plain)
     return (maybe | text.rlike(r"\d[ .]?\d")) & text.rlike(PATTERN)
 
 
@@ -56,9 +66,29 @@ def kind_of(value: Column) -> Column:
     return out.otherwise("card")
 
 
-def canonical(value: Column) -> Column:
+def _head(mention: Column) -> Column:
+    """What of a mention is no part of its value and stays: the name of a secret."""
+    return F.when(kind_of(mention) == "secret", F.regexp_extract(mention, f"^{_SECRET_NAME}", 0)).otherwise("")
+
+
+def _rest(mention: Column) -> Column:
+    return F.substr(mention, F.length(_head(mention)) + 1)
+
+
+def _shouted(mention: Column) -> Column:
+    """Whether it is a secret in upper-case hexadecimal."""
+    return (kind_of(mention) == "secret") & _rest(mention).rlike("^[0-9A-F]*[A-F][0-9A-F]*$")
+
+
+def canonical(mention: Column) -> Column:
     """What must be equal for two mentions to be one value."""
-    return F.when(value.contains("@"), F.lower(value)).otherwise(value)
+    kind = kind_of(mention)
+    return F.when((kind == "email") | _shouted(mention), F.lower(_rest(mention))).otherwise(_rest(mention))
+
+
+def _inserted(mention: Column, surrogate: Column) -> Column:
+    """What stands for a mention in the text."""
+    return F.concat(_head(mention), F.when(_shouted(mention), F.upper(surrogate)).otherwise(surrogate))
 
 
 def _stream(key: str, kind: Column, value: Column, attempt: Column) -> Column:
@@ -127,7 +157,8 @@ def _name(part: Column, stream: Column, shift: int, female: Column, given: Colum
         table = F.array(*[F.lit(s) for s in syllables])
         body = F.concat(*[F.get(table, _byte(stream, F.lit(shift + k)) % len(syllables)) for k in range(4)])
         end = F.when(~given, F.lit(family)).when(female, F.lit(woman)).otherwise(F.lit(man))
-        return F.initcap(F.concat(body, end))
+        name = F.initcap(F.concat(body, end))
+        return F.when(part == F.upper(part), F.upper(name)).otherwise(name)
 
     return F.when(part.rlike(r"^\p{IsCyrillic}"), made(_CYRILLIC, "н", "на", "ко")).otherwise(made(_LATIN, "n", "na", "ker"))
 
@@ -135,12 +166,12 @@ def _name(part: Column, stream: Column, shift: int, female: Column, given: Colum
 def _person(text: Column, key: str, attempt: Column) -> Column:
     address = F.regexp_extract(text, f"^{_ADDRESS}", 0)
     names = F.split(F.substr(text, F.length(address) + 1), " ")
-    female = F.regexp_replace(address, r"[. ]", "").isin(*FEMALE)
+    female = F.lower(F.regexp_replace(address, r"[. ]", "")).isin(*[a.lower() for a in FEMALE])
 
     # Each part by itself, so that a surname alone and with a given name stays one surname.
     def part(p: Column, i: Column) -> Column:
         given = (i == 0) & (F.size(names) > 1)
-        return _name(p, _stream(key, F.when(given, "given").otherwise("family"), p, attempt), 0, female, given)
+        return _name(p, _stream(key, F.when(given, "given").otherwise("family"), F.initcap(p), attempt), 0, female, given)
 
     return F.concat(address, F.array_join(F.transform(names, part), " "))
 
@@ -149,13 +180,11 @@ def surrogate(kind: Column, value: Column, key: str, attempt: Column) -> Column:
     stream = _stream(key, kind, value, attempt)
     domain = F.regexp_extract(value, r"\.[^.]*$", 0)
     country = F.regexp_extract(value, r"^\+\d{1,3}", 0)
-    name = F.regexp_extract(value, f"^{_SECRET_NAME}", 0)
-    secret = F.substr(value, F.length(name) + 1)
     after = lambda head: F.substr(value, F.length(head) + 1)
     return (
         F.when(kind == "email", F.concat(_scrambled(F.substr(value, F.lit(1), F.length(value) - F.length(domain)), stream), domain))
         .when(kind == "access_key", F.concat(F.lit("AKIA"), _scrambled(F.substr(value, F.lit(5)), stream)))
-        .when(kind == "secret", F.concat(name, F.when(secret.rlike("^[0-9a-f]+$"), _hexadecimal(secret, stream)).otherwise(_scrambled(secret, stream))))
+        .when(kind == "secret", F.when(value.rlike("^[0-9a-f]+$"), _hexadecimal(value, stream)).otherwise(_scrambled(value, stream)))
         .when(kind == "person", _person(value, key, attempt))
         .when(kind == "ip", _octets(value, stream))
         .when(kind == "phone", F.concat(country, _scrambled(after(country), stream)))
@@ -164,19 +193,21 @@ def surrogate(kind: Column, value: Column, key: str, attempt: Column) -> Column:
 
 
 def assign(values: DataFrame, key: str, attempts: int = 40) -> DataFrame:
-    """(value, kind, surrogate) for distinct `values` (value): distinct surrogates, none of which is a value."""
-    pending = written(values.select("value", kind_of(F.col("value")).alias("kind")), "values")
+    """(kind, value, surrogate) for distinct `values` (value, and kind if it does not show): distinct surrogates,
+    none of which is a value."""
+    kind = F.col("kind") if "kind" in values.columns else kind_of(F.col("value"))
+    pending = written(values.select(kind.alias("kind"), "value"), "values")
     taken = pending.select(F.col("value").alias("surrogate"))
     accepted: list[DataFrame] = []
     for attempt in range(attempts):
         tried = pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), key, F.lit(attempt)))
         tried = written(tried, "tried")
         # The smallest value of a surrogate may keep it, if nothing else stands for it.
-        first = tried.groupBy("surrogate").agg(F.min("value").alias("value")).join(taken, "surrogate", "left_anti")
-        good = written(tried.join(first, ["surrogate", "value"], "left_semi").select("value", "kind", "surrogate"), "surrogates")
+        first = tried.groupBy("surrogate").agg(F.min(F.struct("kind", "value")).alias("first")).select("surrogate", "first.*")
+        good = written(first.join(taken, "surrogate", "left_anti").select("kind", "value", "surrogate"), "surrogates")
         accepted.append(good)
         taken = taken.unionByName(good.select("surrogate"))
-        pending = written(pending.join(good.select("value"), "value", "left_anti"), "pending")
+        pending = written(pending.join(good.select("kind", "value"), ["kind", "value"], "left_anti"), "pending")
         if pending.isEmpty():
             break
     else:
@@ -193,9 +224,10 @@ def replace(documents: DataFrame, key: str) -> DataFrame:
     holding = documents.where(_holds(F.col("text")))
     # Equal texts have equal entities.
     found = holding.select(F.sha2("text", 256).alias("text_key"), entities.alias("mentions")).groupBy("text_key").agg(F.min("mentions").alias("mentions"))
-    found = written(found.select("text_key", F.posexplode("mentions").alias("at", "mention")), "mentions")
-    names = assign(found.select(canonical(F.col("mention")).alias("value")).distinct(), key)
-    named = found.join(names, canonical(found["mention"]) == names["value"])
+    found = found.select("text_key", F.posexplode("mentions").alias("at", "mention"))
+    found = written(found.select("*", kind_of(F.col("mention")).alias("kind"), canonical(F.col("mention")).alias("value")), "mentions")
+    names = assign(found.select("kind", "value").distinct(), key)
+    named = found.join(names, ["kind", "value"]).select("text_key", "at", _inserted(F.col("mention"), F.col("surrogate")).alias("surrogate"))
     by_text = named.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("named"))
     taken = {c.lower() for c in documents.columns}
     key_name = next(n for n in ("text_key" + "_" * i for i in range(len(taken) + 1)) if n not in taken)

@@ -195,6 +195,21 @@ def test_surrogates(docs):
     assert got[2] == [None] and got[3] == [""] and got[9] == [LONG] and sorted(map(str, got[None])) == ["None", "one two three four five six"]
 
 
+def test_surrogates_of_shouted_texts(spark):
+    rows = [
+        (1, 'TOKEN = "9233A8ECF7C5B09FE59D"!! Api_Key: 9233a8ecf7c5b09fe59d'),
+        (2, "token=9233a8ecf7c5b09fe59d PASSWORD = 'aB3dE5gH7jK9'"),
+        (3, "MR JOHN SMITH, mr Smith, FRAU Huber, SEÑORA Lopez, ГОСПОДИН Иванов; programs Xavier"),
+    ]
+    got = {r.doc_id: r.text for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    shouted, name, plain = re.fullmatch(r'TOKEN = "([0-9A-F]{20})"!! (Api_Key): ([0-9a-f]{20})', got[1]).groups()
+    assert shouted == plain.upper() and plain != "9233a8ecf7c5b09fe59d"
+    assert re.fullmatch(rf"token={plain} PASSWORD = '[a-z][A-Z]\d[a-z][A-Z]\d[a-z][A-Z]\d[a-z][A-Z]\d'", got[2]) and "aB3dE5gH7jK9" not in got[2]
+    assert re.fullmatch(r"MR [A-Z]+N ([A-Z]+KER), mr ([A-Z][a-z]+ker), FRAU [A-Z][a-z]+, SEÑORA [A-Z][a-z]+, ГОСПОДИН [А-Я][а-я]+; programs Xavier", got[3])
+    assert len(set(re.findall(r"\w+ker", got[3], re.I))) == 4 and re.search(r"JOHN|SMITH", got[3], re.I) is None
+    assert re.search(r"[A-Z]+KER", got[3])[0].lower() == re.search(r"mr (\w+)", got[3])[1].lower()
+
+
 def test_surrogates_stay_distinct(spark):
     """Two letters and a digit before the domain: many clashes at first."""
     values = spark.range(600).select(F.concat(F.lit("a"), F.col("id") % 10, F.lit("@"), F.chr(97 + (F.col("id") / 10).cast("int") % 26), F.chr(97 + (F.col("id") / 260).cast("int")), F.lit(".com")).alias("value")).distinct()

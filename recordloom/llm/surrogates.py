@@ -4,8 +4,8 @@ Entities are found by one pattern: e-mail addresses, telephone numbers, IPv4 add
 keys, secrets after their names, and persons after a form of address. A value gets the surrogate that a key and
 a hash of the value select, in the form of the value: digits stay digits and letters letters of their case,
 hexadecimal stays hexadecimal of its case, octets stay octets, a valid card number stays valid, country codes, top-level
-domains, forms of address and key prefixes stay as they are, and a name gets a made-up name of its gender and
-script. Equal values get equal surrogates wherever they stand. Different values get different ones, and none that
+domains, forms of address and key prefixes stay as they are, and each part of a name gets a made-up name of its
+gender and script. Equal values get equal surrogates wherever they stand. Different values get different ones, and none that
 stands in the texts as a value: all are checked, and those that clash try again, the smallest value first.
 
 Names of secrets and forms of address count in any case. E-mail addresses, and secrets in hexadecimal, that
@@ -150,30 +150,72 @@ def _card(text: Column, stream: Column) -> Column:
     return F.when(valid, F.concat(body, ((10 - _luhn(digits)) % 10).cast("string"))).otherwise(rest)
 
 
-def _name(part: Column, stream: Column, shift: int, female: Column, given: Column) -> Column:
-    """A made-up name of four syllables and an ending; a given name's ending tells the gender."""
+#: Endings tell a given name's gender and a family name; their last letters differ, so no two kinds share a name.
+_ENDINGS = {"male": ("n", "н"), "female": ("na", "на"), "family": ("ker", "ко")}
 
-    def made(syllables: list[str], man: str, woman: str, family: str) -> Column:
-        table = F.array(*[F.lit(s) for s in syllables])
-        body = F.concat(*[F.get(table, _byte(stream, F.lit(shift + k)) % len(syllables)) for k in range(4)])
-        end = F.when(~given, F.lit(family)).when(female, F.lit(woman)).otherwise(F.lit(man))
-        name = F.initcap(F.concat(body, end))
-        return F.when(part == F.upper(part), F.upper(name)).otherwise(name)
 
-    return F.when(part.rlike(r"^\p{IsCyrillic}"), made(_CYRILLIC, "н", "на", "ко")).otherwise(made(_LATIN, "n", "na", "ker"))
+def _cyrillic(part: Column) -> Column:
+    return part.rlike(r"^\p{IsCyrillic}")
 
 
-def _person(text: Column, key: str, attempt: Column) -> Column:
-    address = F.regexp_extract(text, f"^{_ADDRESS}", 0)
-    names = F.split(F.substr(text, F.length(address) + 1), " ")
-    female = F.lower(F.regexp_replace(address, r"[. ]", "")).isin(*[a.lower() for a in FEMALE])
+def _stem(part: Column, stream: Column, syllables: int) -> Column:
+    def made(choice: list[str]) -> Column:
+        table = F.array(*[F.lit(s) for s in choice])
+        return F.concat(*[F.get(table, _byte(stream, F.lit(k)) % len(choice)) for k in range(syllables)])
 
-    # Each part by itself, so that a surname alone and with a given name stays one surname.
-    def part(p: Column, i: Column) -> Column:
-        given = (i == 0) & (F.size(names) > 1)
-        return _name(p, _stream(key, F.when(given, "given").otherwise("family"), F.initcap(p), attempt), 0, female, given)
+    return F.when(_cyrillic(part), made(_CYRILLIC)).otherwise(made(_LATIN))
 
-    return F.concat(address, F.array_join(F.transform(names, part), " "))
+
+def _ended(stem: Column, part: Column, ending: str) -> Column:
+    latin, cyrillic = _ENDINGS[ending]
+    return F.concat(stem, F.when(_cyrillic(part), cyrillic).otherwise(latin))
+
+
+def _name(word: Column, kind: Column, gender: Column, stem: Column) -> Column:
+    """The made-up name for a word of a person's name, in its case."""
+    ending = F.when(kind == "family", "family").otherwise(gender)
+    name = F.concat(*[F.when(ending == e, _ended(stem, word, e)).otherwise("") for e in _ENDINGS])
+    return F.when(word == F.upper(word), F.upper(name)).otherwise(F.initcap(name))
+
+
+def assign_names(parts: DataFrame, key: str, syllables: int = 8) -> DataFrame:
+    """(kind, value, stem) for distinct name parts (kind given or family, value in lower case): distinct stems within
+    a kind, none of which makes a name that is a value. Each attempt takes a syllable more, so there are always
+    enough, and names of two attempts differ in length."""
+    pending = written(parts.select("kind", "value"), "names")
+    values = pending.select(F.col("value").alias("form")).distinct()
+    accepted = None
+    while accepted is None or not pending.isEmpty():
+        stem = _stem(F.col("value"), _stream(key, F.col("kind"), F.col("value"), F.lit(syllables)), syllables)
+        tried = written(pending.withColumn("stem", stem), "tried")
+        first = tried.groupBy("kind", "stem").agg(F.min("value").alias("value"))
+        # Whatever the kind: a name that stands for one part is not to be another part.
+        forms = F.explode(F.array(*[_ended(F.col("stem"), F.col("value"), e) for e in _ENDINGS])).alias("form")
+        known = first.select("kind", "stem", forms).join(values, "form", "left_semi").select("kind", "stem").distinct()
+        good = written(first.join(known, ["kind", "stem"], "left_anti").select("kind", "value", "stem"), "stems")
+        accepted = good if accepted is None else accepted.unionByName(good)
+        pending = written(pending.join(good.select("kind", "value"), ["kind", "value"], "left_anti"), "pending")
+        syllables += 1
+    return accepted
+
+
+def _gender(mention: Column) -> Column:
+    address = F.lower(F.regexp_replace(F.regexp_extract(mention, f"^{_ADDRESS}", 0), r"[. ]", ""))
+    return F.when(address.isin(*[a.lower() for a in FEMALE]), "female").otherwise("male")
+
+
+def persons(mentions: DataFrame, key: str) -> DataFrame:
+    """(mention, surrogate) for distinct `mentions` of persons. Each part of a name has its surrogate by itself, so that
+    a surname alone and with a given name stays one surname."""
+    address = F.regexp_extract("mention", f"^{_ADDRESS}", 0)
+    words = F.split(F.substr(F.col("mention"), F.length(address) + 1), " ")
+    parts = mentions.select("mention", F.size(words).alias("n"), F.posexplode(words).alias("at", "word"))
+    kind = F.when((F.col("at") == 0) & (F.col("n") > 1), "given").otherwise("family")
+    parts = written(parts.select("mention", "at", "word", kind.alias("kind"), F.lower("word").alias("value")), "name-parts")
+    named = parts.join(assign_names(parts.select("kind", "value").distinct(), key), ["kind", "value"])
+    name = _name(F.col("word"), F.col("kind"), _gender(F.col("mention")), F.col("stem"))
+    whole = named.groupBy("mention").agg(F.array_sort(F.collect_list(F.struct("at", name.alias("name")))).alias("names"))
+    return whole.select("mention", F.concat(address, F.array_join(F.col("names")["name"], " ")).alias("surrogate"))
 
 
 def surrogate(kind: Column, value: Column, key: str, attempt: Column) -> Column:
@@ -185,7 +227,6 @@ def surrogate(kind: Column, value: Column, key: str, attempt: Column) -> Column:
         F.when(kind == "email", F.concat(_scrambled(F.substr(value, F.lit(1), F.length(value) - F.length(domain)), stream), domain))
         .when(kind == "access_key", F.concat(F.lit("AKIA"), _scrambled(F.substr(value, F.lit(5)), stream)))
         .when(kind == "secret", F.when(value.rlike("^[0-9a-f]+$"), _hexadecimal(value, stream)).otherwise(_scrambled(value, stream)))
-        .when(kind == "person", _person(value, key, attempt))
         .when(kind == "ip", _octets(value, stream))
         .when(kind == "phone", F.concat(country, _scrambled(after(country), stream)))
         .otherwise(_card(value, stream))
@@ -226,8 +267,11 @@ def replace(documents: DataFrame, key: str) -> DataFrame:
     found = holding.select(F.sha2("text", 256).alias("text_key"), entities.alias("mentions")).groupBy("text_key").agg(F.min("mentions").alias("mentions"))
     found = found.select("text_key", F.posexplode("mentions").alias("at", "mention"))
     found = written(found.select("*", kind_of(F.col("mention")).alias("kind"), canonical(F.col("mention")).alias("value")), "mentions")
-    names = assign(found.select("kind", "value").distinct(), key)
-    named = found.join(names, ["kind", "value"]).select("text_key", "at", _inserted(F.col("mention"), F.col("surrogate")).alias("surrogate"))
+    others = found.where("kind != 'person'")
+    names = assign(others.select("kind", "value").distinct(), key)
+    named = others.join(names, ["kind", "value"]).select("text_key", "at", _inserted(F.col("mention"), F.col("surrogate")).alias("surrogate"))
+    people = found.where("kind = 'person'").select("text_key", "at", "mention")
+    named = named.unionByName(people.join(persons(people.select("mention").distinct(), key), "mention").select("text_key", "at", "surrogate"))
     by_text = named.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("named"))
     taken = {c.lower() for c in documents.columns}
     key_name = next(n for n in ("text_key" + "_" * i for i in range(len(taken) + 1)) if n not in taken)

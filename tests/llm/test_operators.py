@@ -210,6 +210,27 @@ def test_surrogates_of_shouted_texts(spark):
     assert re.search(r"[A-Z]+KER", got[3])[0].lower() == re.search(r"mr (\w+)", got[3])[1].lower()
 
 
+def test_surrogates_of_many_names_stay_one_to_one(spark):
+    syllables = ["bar", "den", "fil", "gor", "kun", "lat", "mer", "nid", "pos", "rum"]
+    surnames = ["".join(syllables[int(c)] for c in f"{i:03d}").capitalize() for i in range(1000)]
+    rows = [(i, f"Mr {n} met Mr John {n}, Mrs {n} and Mr. {n.upper()}") for i, n in enumerate(surnames)]
+    made = {}
+    for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect():
+        one, given, *same = re.fullmatch(r"Mr (\w+) met Mr (\w+) (\w+), Mrs (\w+) and Mr. (\w+)", r.text).groups()
+        assert same == [one, one, one.upper()]
+        made[r.doc_id] = (one, given)
+    assert len({n for n, _ in made.values()}) == 1000 and len({g for _, g in made.values()}) == 1
+    assert not {n for n, _ in made.values()} & set(surnames)
+
+
+def test_names_of_few_syllables_grow(spark):
+    """Sixteen stems of one syllable for 300 names, one of which is itself a made-up name."""
+    parts = spark.range(300).select(F.lit("family").alias("kind"), F.concat(F.lit("x"), "id").alias("value"))
+    parts = parts.unionByName(spark.createDataFrame([("family", "baker"), ("given", "x1")], "kind string, value string"))
+    got = surrogates.assign_names(parts, "key", syllables=1).collect()
+    assert len({(r.kind, r.stem) for r in got}) == len(got) == 302 and "ba" not in {r.stem for r in got}
+
+
 def test_surrogates_stay_distinct(spark):
     """Two letters and a digit before the domain: many clashes at first."""
     values = spark.range(600).select(F.concat(F.lit("a"), F.col("id") % 10, F.lit("@"), F.chr(97 + (F.col("id") / 10).cast("int") % 26), F.chr(97 + (F.col("id") / 260).cast("int")), F.lit(".com")).alias("value")).distinct()

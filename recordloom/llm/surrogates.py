@@ -1,7 +1,9 @@
 """Keyed surrogates for personal data, with DataFrame functions only.
 
-Entities are found by one pattern: e-mail addresses, telephone numbers, IPv4 addresses, card numbers, access
-keys, secrets after their names, and persons after a form of address. A value gets the surrogate that a key and
+Entities are found by one pattern: e-mail addresses, international and national telephone numbers, IPv4 addresses,
+card numbers, access keys, secrets after their names, and persons after a form of address, with any number of
+given names, initials and surnames. In a text that holds a person, later bare words that are parts of that
+person's name are replaced as well. A value gets the surrogate that a key and
 a hash of the value select, in the form of the value: digits stay digits and letters letters of their case,
 hexadecimal stays hexadecimal of its case, octets stay octets, a valid card number stays valid, country codes, top-level
 domains, forms of address and key prefixes stay as they are, and each part of a name gets a made-up name of its
@@ -16,6 +18,9 @@ kept, `text` is replaced. Empty tables give empty results.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,45 +30,81 @@ from recordloom.scratch import written
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+"
 ACCESS_KEY = r"\bAKIA[0-9A-Z]{16}\b"
 SECRET_NAMES = ["password", "passwd", "token", "secret", "api_key", "apikey"]
-_SECRET_NAME = rf"\b(?i:{'|'.join(SECRET_NAMES)})\s?[=:]\s?[\"']?"
-SECRET = _SECRET_NAME + r"[A-Za-z0-9+/_-]{12,512}"
+_SECRET_NAME = rf"(?<![A-Za-z0-9])(?i:{'|'.join(SECRET_NAMES)})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?"
+# Parts after a full stop belong to it, as those of a signed token do.
+SECRET = _SECRET_NAME + r"[A-Za-z0-9+/_-]{12,}+(?:\.[A-Za-z0-9+/_-]+)*+"
 IP = r"\b\d{1,3}(?:\.\d{1,3}){3}\b"
-PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}\b"
-CARD = r"\b\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}\b"
+# International; in pairs; then national: area in brackets, 3-3-4, after a trunk 0, and that in pairs.
+PHONE = (
+    r"(?:\+\d{1,3}[ .-]?(?:\(0\) ?)?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}\b|\+\d{1,3}[ .-]?\d(?:[ .-]?\d{2}){4}\b"
+    r"|\(\d{2,5}\)[ .-]?\d{3,4}[ .-]?\d{3,4}\b|(?<!\d)(?<!\d[.-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}\b"
+    r"|(?<!\d)(?<!\d[.-])0\d{1,4}[ /-]\d{3,4}[ .-]?\d{3,5}\b|(?<!\d)(?<!\d[.-])0\d(?:[ .-]\d{2}){4}\b)"
+)
+CARD = r"(?:\b\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}\b|\b\d{4}[ -]?\d{6}[ -]?\d{4,5}\b)"
 #: Forms of address, by gender (fixed values).
-MALE = ["Mr", "Herr", "Monsieur", "Señor", "Господин"]
-FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа"]
-_ADDRESS = rf"(?<![\p{{L}}\p{{N}}_])(?iu:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.? "
-_PART = r"\p{Lu}\p{L}+"
-PERSON = _ADDRESS + rf"{_PART}(?: {_PART})?"
+MALE = ["Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Господин"]
+FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Fräulein", "Madame", "Mademoiselle", "Mme", "Mlle", "Señora", "Señorita", "Sra", "Srta", "Госпожа"]
+NEUTRAL = ["Mx", "Dr", "Doctor", "Prof", "Professor", "Доктор", "Профессор"]
+TITLES = sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True)
+#: Words in small letters inside a name, which stay (fixed values).
+PARTICLES = ["von und zu", "von der", "von den", "van der", "van den", "von", "vom", "van", "zu", "de la", "de las", "de los", "de", "del", "della", "di", "da", "dos", "du", "bin", "ibn", "ten", "ter"]
+_BLANK = r"[\s\xA0]"
+_TITLE = rf"(?iu:{'|'.join(TITLES)})"
+_ADDRESS = rf"(?<![\p{{L}}\p{{N}}_])(?:{_TITLE}(?:\.{_BLANK}{{0,2}}|{_BLANK}{{1,2}})){{1,4}}"
+# A capital and letters, also with an apostrophe before a capital.
+_WORD = rf"(?!{_TITLE}(?:\.|{_BLANK}))(?:[dDlLO]['’])?\p{{Lu}}[\p{{L}}\p{{M}}]+(?:['’]\p{{Lu}}[\p{{L}}\p{{M}}]+)*"
+_LETTER = r"\p{Lu}\p{M}*(?![\p{L}\p{M}'’])"
+# An initial without a full stop needs a word after it.
+_ITEM = rf"(?:(?:{'|'.join(sorted(PARTICLES, key=len, reverse=True))}) )?(?:{_WORD}|\p{{Lu}}\p{{M}}*\.|{_LETTER}(?=[ \xA0]{{1,2}}\p{{Lu}}\p{{L}}))"
+PERSON = _ADDRESS + rf"(?:{_ITEM}|{_LETTER})(?:(?:[ \xA0]{{1,2}}|[-‐‑]|(?<=\.)){_ITEM})*"
+#: A word that may be a name of a person of the same text.
+BARE = rf"(?<![\p{{L}}\p{{M}}\p{{N}}_]){_WORD}"
 #: In this order, which decides where two could begin at one place.
-KINDS = {"email": EMAIL, "access_key": ACCESS_KEY, "secret": SECRET, "person": PERSON, "ip": IP, "phone": PHONE, "card": CARD}
+KINDS = {"email": EMAIL, "access_key": ACCESS_KEY, "secret": SECRET, "person": PERSON, "ip": IP, "card": CARD, "phone": PHONE}
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 
 _LATIN = ["ba", "de", "fi", "go", "ku", "la", "me", "ni", "po", "ru", "sa", "te", "vi", "zo", "ha", "jo"]
 _CYRILLIC = ["ба", "де", "фи", "го", "ку", "ла", "ме", "ни", "по", "ру", "са", "те", "ви", "зо", "ха", "жо"]
 
 
-def _holds(text: Column) -> Column:
-    """Whether the pattern matches. Plain searches for what every match contains come first: they rule out
-    most texts without trying the pattern at each place."""
+# Short forms of address stand in many words, so these are searched with what must be around them.
+_SHORT = [t for t in TITLES if len(t) <= 3 or t in ("Mlle", "Srta")]
+_SHORT_TITLE = rf"[{''.join(sorted({x for t in _SHORT for x in t[0].lower() + t[0].upper()}))}](?<![\p{{L}}\p{{N}}_].)(?i:{'|'.join(sorted({t[1:] for t in _SHORT}))})(?:\.|{_BLANK})"
+
+#: PERSON, tried only where a form of address may begin.
+_LED_PERSON = f"(?=[{''.join(sorted({x for t in TITLES for x in t[0].lower() + t[0].upper()}))}]){PERSON}"
 
 
-    def plain(lowered: Column) -> Column:
+def _holds(text: Column) -> Column:
+    """Whether the pattern matches, kind by kind. Searches for what every match of a kind contains come first: they
+    rule out most texts without trying its pattern at each place."""
+
+    def has(lowered: Column, parts: list[str]) -> Column:
         found = F.lit(False)
-        for part in sorted({p.lower() for p in [*SECRET_NAMES, *MALE, *FEMALE]}):
+        for part in sorted({p.lower() for p in parts}):
             found = found | lowered.contains(part)
         return found
 
+    def by_word(lowered: Column) -> Column:
+        titled = has(lowered, [t for t in TITLES if t not in _SHORT]) | text.rlike(_SHORT_TITLE)
+        return (has(lowered, SECRET_NAMES) & text.rlike(SECRET)) | (titled & text.rlike(_LED_PERSON))
+
+    numbers = text.rlike(r"\d[ .]?\d") & text.rlike(rf"(?=[+(\d])(?:{IP}|{CARD}|{PHONE})")
     # In an array, so that the text is put in lower case once.
-    maybe = text.contains("@") | text.contains("AKIA") | F.exists(F.array(F.lower(text)), plain)
-    return (maybe | text.rlike(r"\d[ .]?\d")) & text.rlike(PATTERN)
+    by_word = F.exists(F.array(F.lower(text)), by_word)
+    return (text.contains("@") & text.rlike(EMAIL)) | (text.contains("AKIA") & text.rlike(ACCESS_KEY)) | numbers | by_word
+
+
+def _by_entity(text: Column, cut: Callable[[str], Column]) -> Column:
+    """`cut` by the pattern; in texts with persons also by all words that may be their names."""
+    return F.when(text.rlike(_LED_PERSON), cut(f"{PATTERN}|(?:{BARE})")).otherwise(cut(PATTERN))
 
 
 def kind_of(value: Column) -> Column:
-    out = F.when(value.contains("@"), "email").when(value.rlike(f"^{ACCESS_KEY}$"), "access_key").when(value.rlike(f"^{SECRET}$"), "secret")
-    out = out.when(value.rlike(f"^{PERSON}$"), "person").when(value.rlike(f"^{IP}$"), "ip").when(value.startswith("+"), "phone")
-    return out.otherwise("card")
+    out = F.when(value.contains("@"), "email")
+    for kind, pattern in KINDS.items():
+        out = out if kind == "email" else out.when(value.rlike(f"^{pattern}$"), kind)
+    return out.otherwise("word")
 
 
 def _head(mention: Column) -> Column:
@@ -98,6 +139,8 @@ def _stream(key: str, kind: Column, value: Column, attempt: Column) -> Column:
 
 
 def _byte(stream: Column, i: Column) -> Column:
+    # A long value takes more digits than one hash has.
+    stream = F.when(i < 32, stream).otherwise(F.sha2(F.concat(stream, F.floor(i / 32).cast("string")), 256))
     return F.conv(F.substr(stream, (i * 2) % 64 + 1, F.lit(2)), 16, 10).cast("int")
 
 
@@ -151,7 +194,7 @@ def _card(text: Column, stream: Column) -> Column:
 
 
 #: Endings tell a given name's gender and a family name; their last letters differ, so no two kinds share a name.
-_ENDINGS = {"male": ("n", "н"), "female": ("na", "на"), "family": ("ker", "ко")}
+_ENDINGS = {"male": ("n", "н"), "female": ("na", "на"), "neutral": ("l", "л"), "family": ("ker", "ко")}
 
 
 def _cyrillic(part: Column) -> Column:
@@ -199,29 +242,77 @@ def assign_names(parts: DataFrame, key: str, syllables: int = 8) -> DataFrame:
     return accepted
 
 
+def _initial(letter: Column, key: str) -> Column:
+    """Latin and Cyrillic capitals turned by a number that the key selects; any other becomes X."""
+    out = F.lit("X")
+    for first, n in (("A", 26), ("А", 32)):
+        alphabet = "".join(chr(ord(first) + i) for i in range(n))
+        shift = int(hashlib.sha256(f"{key}\ninitial{n}".encode()).hexdigest(), 16) % (n - 1) + 1
+        out = F.when(letter.between(alphabet[0], alphabet[-1]), F.translate(letter, alphabet, alphabet[shift:] + alphabet[:shift])).otherwise(out)
+    return out
+
+
 def _gender(mention: Column) -> Column:
-    address = F.lower(F.regexp_replace(F.regexp_extract(mention, f"^{_ADDRESS}", 0), r"[. ]", ""))
-    return F.when(address.isin(*[a.lower() for a in FEMALE]), "female").otherwise("male")
+    address = F.split(F.regexp_replace(F.lower(F.regexp_extract(mention, f"^{_ADDRESS}", 0)), rf"(?:\.|{_BLANK})+", " "), " ")
+    held = lambda titles: F.arrays_overlap(address, F.array(*[F.lit(t.lower()) for t in titles]))
+    return F.when(held(FEMALE), "female").when(held(MALE), "male").otherwise("neutral")
+
+
+def _part_value(word: Column) -> Column:
+    return F.lower(F.translate(word, "’", "'"))
+
 
+_PARTS = rf"{_WORD}|{_LETTER}"
 
-def persons(mentions: DataFrame, key: str) -> DataFrame:
-    """(mention, surrogate) for distinct `mentions` of persons. Each part of a name has its surrogate by itself, so that
-    a surname alone and with a given name stays one surname."""
+
+def _name_parts(mentions: DataFrame) -> DataFrame:
+    """(mention, at, word, kind, value, gender) of the parts of distinct `mentions` of persons. What comes after the last
+    blank is the family name. After a form of address without gender a name has that which it has elsewhere."""
     address = F.regexp_extract("mention", f"^{_ADDRESS}", 0)
-    words = F.split(F.substr(F.col("mention"), F.length(address) + 1), " ")
-    parts = mentions.select("mention", F.size(words).alias("n"), F.posexplode(words).alias("at", "word"))
-    kind = F.when((F.col("at") == 0) & (F.col("n") > 1), "given").otherwise("family")
-    parts = written(parts.select("mention", "at", "word", kind.alias("kind"), F.lower("word").alias("value")), "name-parts")
-    named = parts.join(assign_names(parts.select("kind", "value").distinct(), key), ["kind", "value"])
-    name = _name(F.col("word"), F.col("kind"), _gender(F.col("mention")), F.col("stem"))
+    name = F.substr(F.col("mention"), F.length(address) + 1)
+    given = F.size(F.regexp_extract_all(F.regexp_extract(name, r"^.*[ \xA0]", 0), F.lit(_PARTS), F.lit(0)))
+    parts = mentions.select("mention", given.alias("given"), F.posexplode(F.regexp_extract_all(name, F.lit(_PARTS), F.lit(0))).alias("at", "word"))
+    kind = F.when(F.col("word").rlike(f"^{_LETTER}$"), "initial").when(F.col("at") < F.col("given"), "given").otherwise("family")
+    parts = parts.select("mention", "at", "word", kind.alias("kind"), _part_value(F.col("word")).alias("value"), _gender(F.col("mention")).alias("gender"))
+    parts = written(parts, "name-parts")
+    known = parts.where("kind = 'given' and gender != 'neutral'").groupBy("value").agg(F.min("gender").alias("low"), F.max("gender").alias("high"))
+    known = known.where("low = high").select("value", F.lit("given").alias("kind"), F.lit("neutral").alias("gender"), F.col("low").alias("elsewhere"))
+    both = parts.join(known, ["value", "kind", "gender"], "left")
+    return written(both.select("mention", "at", "word", "kind", "value", F.coalesce("elsewhere", "gender").alias("gender")), "name-parts")
+
+
+def persons(people: DataFrame, words: DataFrame, key: str) -> DataFrame:
+    """(text_key, at, surrogate) for mentions of persons and other words with a capital, both (text_key, at, mention). Each
+    part of a name has its surrogate by itself, so that a surname alone and with a given name stays one surname.
+    A word after a mention of a person in the same text is that person's name if it is a part of it."""
+    parts = _name_parts(people.select("mention").distinct())
+    names = written(assign_names(parts.where("kind != 'initial'").select("kind", "value").distinct(), key), "names")
+    named = parts.join(names, ["kind", "value"], "left")
+    name = F.when(F.col("kind") == "initial", _initial(F.substr("word", F.lit(1), F.lit(1)), key)).otherwise(_name(F.col("word"), F.col("kind"), F.col("gender"), F.col("stem")))
     whole = named.groupBy("mention").agg(F.array_sort(F.collect_list(F.struct("at", name.alias("name")))).alias("names"))
-    return whole.select("mention", F.concat(address, F.array_join(F.col("names")["name"], " ")).alias("surrogate"))
+    address = F.regexp_extract("mention", f"^{_ADDRESS}", 0)
+    between = F.split(F.substr(F.col("mention"), F.length(address) + 1), _PARTS, -1)
+    inserted = F.concat(F.col("names")["name"], F.array(F.lit("")))
+    surrogate = F.concat(address, F.array_join(F.zip_with(between, inserted, lambda a, b: F.concat(a, b)), ""))
+    full = people.join(whole.select("mention", surrogate.alias("surrogate")), "mention").select("text_key", "at", "surrogate")
+    known = people.withColumnRenamed("at", "seen").join(parts.where("kind != 'initial'"), "mention")
+    known = known.groupBy("text_key", "value").agg(F.min("seen").alias("seen"), F.min(F.struct("kind", "gender")).alias("as"))
+    known = known.select("text_key", "value", "seen", "as.*")
+    later = words.withColumn("value", _part_value(F.col("mention"))).join(known, ["text_key", "value"], "left").join(names, ["kind", "value"], "left")
+    replaced = _name(F.col("mention"), F.col("kind"), F.col("gender"), F.col("stem"))
+    surrogate = F.when(F.col("at") > F.col("seen"), replaced).otherwise(F.col("mention"))
+    return full.unionByName(later.select("text_key", "at", surrogate.alias("surrogate")))
 
 
 def surrogate(kind: Column, value: Column, key: str, attempt: Column) -> Column:
-    stream = _stream(key, kind, value, attempt)
+    # In an array, so that the value is hashed once, not for each of its characters.
+    hashed = F.array(_stream(key, kind, value, attempt))
+    return F.get(F.transform(hashed, lambda stream: _surrogate(kind, value, stream)), 0)
+
+
+def _surrogate(kind: Column, value: Column, stream: Column) -> Column:
     domain = F.regexp_extract(value, r"\.[^.]*$", 0)
-    country = F.regexp_extract(value, r"^\+\d{1,3}", 0)
+    country = F.regexp_extract(value, r"^(?:\+\d{1,3}|\(?0)", 0)
     after = lambda head: F.substr(value, F.length(head) + 1)
     return (
         F.when(kind == "email", F.concat(_scrambled(F.substr(value, F.lit(1), F.length(value) - F.length(domain)), stream), domain))
@@ -261,24 +352,24 @@ def assign(values: DataFrame, key: str, attempts: int = 40) -> DataFrame:
 
 def replace(documents: DataFrame, key: str) -> DataFrame:
     """The documents with surrogates in `text`."""
-    entities = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
-    holding = documents.where(_holds(F.col("text")))
+    entities = _by_entity(F.col("text"), lambda pattern: F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
+    holding = written(documents.where(_holds(F.col("text"))), "holding")
     # Equal texts have equal entities.
     found = holding.select(F.sha2("text", 256).alias("text_key"), entities.alias("mentions")).groupBy("text_key").agg(F.min("mentions").alias("mentions"))
     found = found.select("text_key", F.posexplode("mentions").alias("at", "mention"))
     found = written(found.select("*", kind_of(F.col("mention")).alias("kind"), canonical(F.col("mention")).alias("value")), "mentions")
-    others = found.where("kind != 'person'")
+    others = found.where("kind not in ('person', 'word')")
     names = assign(others.select("kind", "value").distinct(), key)
     named = others.join(names, ["kind", "value"]).select("text_key", "at", _inserted(F.col("mention"), F.col("surrogate")).alias("surrogate"))
-    people = found.where("kind = 'person'").select("text_key", "at", "mention")
-    named = named.unionByName(people.join(persons(people.select("mention").distinct(), key), "mention").select("text_key", "at", "surrogate"))
+    people, words = (found.where(F.col("kind") == k).select("text_key", "at", "mention") for k in ("person", "word"))
+    named = named.unionByName(persons(people, words, key))
     by_text = named.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("named"))
     taken = {c.lower() for c in documents.columns}
     key_name = next(n for n in ("text_key" + "_" * i for i in range(len(taken) + 1)) if n not in taken)
     named_name = next(n for n in ("named" + "_" * i for i in range(len(taken) + 1)) if n not in taken)
     by_text = by_text.select(F.col("text_key").alias(key_name), F.col("named").alias(named_name))
     both = holding.withColumn(key_name, F.sha2("text", 256)).join(by_text, key_name)
-    between = F.split("text", PATTERN, -1)
+    between = _by_entity(F.col("text"), lambda pattern: F.split("text", pattern, -1))
     inserted = F.concat(F.transform(F.col(named_name), lambda s: s["surrogate"]), F.array(F.lit("")))
     text = F.array_join(F.zip_with(between, inserted, lambda a, b: F.concat(a, b)), "")
     replaced = both.select(*[text.alias(c) if c == "text" else F.col(c) for c in documents.columns])

@@ -231,6 +231,29 @@ def test_names_of_few_syllables_grow(spark):
     assert len({(r.kind, r.stem) for r in got}) == len(got) == 302 and "ba" not in {r.stem for r in got}
 
 
+WHOLE_ENTITIES = [
+    ("Mr John Ronald Reuel Tolkien wrote", r"Mr (\w+n) (\w+n) (\w+n) (\w+ker) wrote"),
+    ("Frau Anne-Marie Huber ging", r"Frau (\w+na)-(\w+na) (\w+ker) ging"),
+    ("Mr O'Brien's dog and Mr O’Brien", r"Mr (\w+ker)'s dog and Mr \1"),
+    ("Mr J. R. R. Tolkien, Mr J.R.R. Tolkien", r"Mr ([A-IK-Z])\. ([A-QS-Z])\. \2\. (\w+ker), Mr \1\.\2\.\2\. \3"),
+    ("Herr Prof. Dr. Ludwig von Goethe kam.", r"Herr Prof\. Dr\. \w+n von \w+ker kam\."),
+    ("Smith first. Dr Smith came. I saw Smith's and SMITH. Then Mr Smith I think.", r"Smith first\. Dr ((\w+)ker) came\. I saw \1's and [A-Z]+KER\. Then Mr \1 I think\."),
+    ("Dr Kim Lee, Mrs Kim Lee", r"Dr (\w+na) (\w+ker), Mrs \1 \2"),
+    ("Call (415) 555-0132 or 415-555-0133 or 0171 1234567.", r"Call \((?!415)\d{3}\) \d{3}-\d{4} or (?!415-555)\d{3}-\d{3}-\d{4} or 0(?!171 1234567)\d{3} \d{7}\."),
+    ("Amex 3782 822463 10005 ok", r"Amex 3(?!782 822463)\d{3} \d{6} \d{5} ok"),
+    ('{"access_token": "' + "a1" * 400 + '"}', r'\{"access_token": "(?!(?:..)*a1a1a1a1)[0-9a-f]{800}"\}'),
+    ("token=abcdefabcdef.ghijklghijkl.mnopqr end", r"token=(?!abc)[a-z]{12}\.(?!ghi)[a-z]{12}\.(?!mno)[a-z]{6} end"),
+    ("on 2024-05-06 at 10 Downing Street, Mr and Mrs", r"on 2024-05-06 at 10 Downing Street, Mr and Mrs"),
+]
+
+
+def test_surrogates_of_whole_entities(spark):
+    rows = [(i, text) for i, (text, _) in enumerate(WHOLE_ENTITIES)]
+    got = {r.doc_id: r.text for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for i, (text, want) in enumerate(WHOLE_ENTITIES):
+        assert re.fullmatch(want, got[i]), (text, got[i])
+
+
 def test_surrogates_stay_distinct(spark):
     """Two letters and a digit before the domain: many clashes at first."""
     values = spark.range(600).select(F.concat(F.lit("a"), F.col("id") % 10, F.lit("@"), F.chr(97 + (F.col("id") / 10).cast("int") % 26), F.chr(97 + (F.col("id") / 260).cast("int")), F.lit(".com")).alias("value")).distinct()

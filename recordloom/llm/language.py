@@ -1,6 +1,6 @@
 """Language identification of mixed texts: scripts, per-word scores, Viterbi.
 
-A word is a run of letters. Its script range narrows the languages it may belong to: those that were seen
+A word is a run of letters, by Unicode category, and of marks after them, which do not count as letters. Its script range narrows the languages it may belong to: those that were seen
 with that script. Among them a word scores the log probability of its byte n-grams under a model per language,
 with hashed counts. A Viterbi pass over the words of a text, with a penalty for each switch, labels spans.
 The language of a text is the one whose spans hold most letters; the score is its share of the letters.
@@ -12,6 +12,7 @@ language first in order. Without anything learned every text is `und`. Repeated
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,6 +44,9 @@ SCRIPTS = [
     (0x1E00, "latin"),
     (0x1F00, "greek"),
     (0x2000, "sign"),
+    (0x2C00, "other"),
+    (0x2C60, "latin"),
+    (0x2C80, "other"),
     (0x3040, "kana"),
     (0x3100, "other"),
     (0x3400, "han"),
@@ -54,26 +58,40 @@ SCRIPT_NAMES = sorted({name for _, name in SCRIPTS})
 _STARTS = np.array([first for first, _ in SCRIPTS])
 _NUMBERS = np.array([SCRIPT_NAMES.index(name) for _, name in SCRIPTS])
 
-_LETTER = np.zeros(256, dtype=np.uint8)
-_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
-_LETTER[0x80:] = 1
+#: Of each code point 1 if it is a letter, 2 if it is a mark, by its Unicode category.
+_CATEGORY = np.frombuffer(bytes({"L": 1, "M": 2}.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)), dtype=np.uint8)
+
+
+def _classes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each byte 1 if it is of a letter or of a mark that follows one; and whether a letter begins there."""
+    classes = np.where(data < 0x80, _CATEGORY[data], 0).astype(np.uint8)
+    lead = np.flatnonzero(data >= 0xC0)
+    first = data[lead].astype(np.int64)
+    width = 2 + (first >= 0xE0) + (first >= 0xF0)
+    point = first & (0x7F >> width)
+    longer = [np.flatnonzero(width > k) for k in (1, 2, 3)]
+    for k, here in enumerate(longer, 1):
+        point[here] = (point[here] << 6) | (data[lead[here] + k] & 0x3F)
+    kind = _CATEGORY[point]
+    classes[lead] = kind
+    for k, here in enumerate(longer, 1):
+        classes[lead[here] + k] = kind[here]
+    letter = (classes == 1) & ((data & 0xC0) != 0x80)
+    mark = np.flatnonzero(classes == 2)
+    if len(mark):
+        last = np.maximum.accumulate(np.where(classes != 2, np.arange(len(data)), -1))[mark]
+        begin = offsets[np.searchsorted(offsets, mark, "right") - 1]
+        classes[mark] = (last >= begin) & (classes[np.maximum(last, 0)] == 1)
+    return classes, letter
 
 
 def letter_words(texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
-    """Runs of ASCII letters and of what lies beyond ASCII, without general signs; the script of each run's
-    first letter; the number of letters of each."""
+    """Runs of letters and their marks; the script of each run's first letter; the number of letters of each."""
     data, offsets = buffer(texts)
-    classes, data = _LETTER[data], LOWER[data]
-    # U+0080 to U+00BF but for the three letters there, U+00D7, U+00F7, and U+2000 to U+303F are no letters.
+    classes, letter = _classes(data, offsets)
+    data = LOWER[data]
     if len(data) > 1:
         second = data[1:]
-        sign = (data[:-1] == 0xC2) & (second != 0xAA) & (second != 0xB5) & (second != 0xBA)
-        sign |= (data[:-1] == 0xC3) & ((second == 0x97) | (second == 0xB7))
-        at = np.flatnonzero(sign)
-        classes[at] = classes[at + 1] = 0
-        at = np.flatnonzero((data[:-2] == 0xE2) | ((data[:-2] == 0xE3) & (data[1:-1] == 0x80)))
-        for k in range(3):
-            classes[at + k] = 0
         # Capital letters of Latin-1.
         at = np.flatnonzero((data[:-1] == 0xC3) & (second >= 0x80) & (second < 0x9F) & (second != 0x97)) + 1
         data[at] += 0x20
@@ -88,7 +106,7 @@ def letter_words(texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
             value = (value << 6) | (data[w.starts[here] + k + 1] & 0x3F)
         point[here] = value
     script = _NUMBERS[np.maximum(np.searchsorted(_STARTS, point, "right") - 1, 0)]
-    inside = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    inside = np.concatenate([[0], np.cumsum(letter)])
     return w, script, inside[w.ends] - inside[w.starts]
 
 

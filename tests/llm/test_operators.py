@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -329,6 +330,20 @@ def test_offending_sentence_and_mixed_spans(spark):
     assert [s.lang for s in row[0].spans] == ["en", "de"] and [r.lang_pred for r in row[1:]] == ["und"] * 3
 
 
+def test_letters_by_category(spark):
+    texts = ["naïve Straße ªº x²½", "😀👍 ❤\ufe0f ❤\ufe0fab", "٣٤٥ १२३ １２ \ufffd ×÷ 、。", "ⵜⴰⵎⴰⵣⵉⵖⵜ Ⲁⲃⲅ ⰰⰱ", "\u0301a e\u0301t\u0301 हिन्दी", None, "", "\u0301", "Ａｂ 漢字かな"]
+    w, _, letters = language.letter_words(pa.array(texts))
+    for i, text in enumerate(texts):
+        found = re.findall("[L](?:[LM])*", "".join(unicodedata.category(c)[0] for c in text or ""))
+        assert letters[w.first[i] : w.first[i + 1]].tolist() == [run.count("L") for run in found], text
+    table = spark.createDataFrame([(i, "the and of thing", "en") for i in range(40)] + [(i, "der die und nicht", "de") for i in range(40, 80)], "doc_id long, text string, lang string")
+    model = language.train(table)
+    rows = spark.createDataFrame([(1, "😀👍❤\ufe0f"), (2, "٣٤٥ १२३"), (3, "１２３ \ufffd"), (4, "ⵜⴰⵎⴰⵣⵉⵖⵜ")], "doc_id long, text string")
+    got = {r.doc_id: r for r in language.identify(rows, model).collect()}
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 and not got[i].spans for i in (1, 2, 3))
+    assert got[4].lang_pred in ("en", "de") and len(got[4].spans) == 1
+
+
 def test_odd_rows_and_empty_tables(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (5, None, None), (None, 1, 1), (7, 0, 1)], "doc_id long, quality int, toxic int")
     none = labels.limit(0)

@@ -47,5 +47,24 @@ its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT i
 SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+""",
+    "op11_collocations": f"""
+WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, row_number() OVER () AS d, {_LOWER} AS t FROM documents),
+p AS (SELECT d, lang, unnest(regexp_extract_all(t, '[^.,;:!?\\x0A-\\x0D]+')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+      FROM w, (VALUES (1), (2), (3)) AS s(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND a >= 10),
+x AS (SELECT c.*, j, array_to_string(ws[1:j], ' ') AS lp, array_to_string(ws[j + 1:], ' ') AS rp FROM c, (VALUES (1), (2)) AS s(j) WHERE j < k),
+y AS (SELECT x.*, l.a AS l, r.a AS r, ((1000000::HUGEINT * x.a * x.a) // (l.a::HUGEINT * r.a))::BIGINT AS score
+      FROM x JOIN f l ON l.lang = x.lang AND l.phrase = lp AND l.k = j JOIN f r ON r.lang = x.lang AND r.phrase = rp AND r.k = x.k - j),
+z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, k, phrase ORDER BY score, j) = 1),
+m AS (SELECT lang, phrase, max(a) AS most FROM (SELECT lang, a, array_to_string(ws[1:2], ' ') AS phrase FROM c WHERE k = 3
+      UNION ALL SELECT lang, a, array_to_string(ws[2:3], ' ') FROM c WHERE k = 3) GROUP BY ALL),
+s AS (SELECT z.* FROM z LEFT JOIN m ON k = 2 AND m.lang = z.lang AND m.phrase = z.phrase WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM s JOIN n USING (lang) QUALIFY rank <= 2000
 """,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import decontaminate, jaccard, language, linear, neighbours, packing, quality, suffixes, surrogates, toxicity, warc
+from recordloom.llm import collocations, decontaminate, jaccard, language, linear, neighbours, packing, quality, suffixes, surrogates, toxicity, warc
 from recordloom.scratch import new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,8 @@ def op9_language_spans(spark, sf_dir):
 @query
 def op10_packing(spark, sf_dir):
     return packing.digests(packing.pack(table(spark, sf_dir, "documents"), TOKENIZER))
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))

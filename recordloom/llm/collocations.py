@@ -10,7 +10,7 @@ phrases on both sides of every pair that reaches it, which may drop the pair.
 
 Counting jobs are given the frontier as bitmaps of fixed size; a bit set by chance adds rows to count, never takes
 any away. Counts are of the words themselves, added by Spark. Each task adds up blocks of about `_BYTES` bytes of text
-first. Nothing but one flag per level reaches the driver; the bitmaps have `_BITS` bits at any size of the corpus.
+first. Nothing but one flag per level reaches the driver; the bitmaps have `bits` bits at any size of the corpus.
 
 Null and empty texts have no words; null languages count as `und`. Rows that repeat count as often as they occur.
 A text of any length is counted whole, in memory of some ten bytes per byte of it. Ties are settled by count and then
@@ -32,7 +32,7 @@ from recordloom.llm.words import LOWER, mix, prefix_hash, span_hash
 from recordloom.scratch import written
 
 _BYTES = 8 << 20
-_BITS = 1 << 26
+_BITS = 1 << 25
 
 _PIECE = np.zeros(256, dtype=bool)
 _PIECE[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -47,32 +47,33 @@ def _word_hashes(words: pa.Array) -> np.ndarray:
     return mix(span_hash(prefix_hash(data), at[:-1], at[1:]), 3)
 
 
-def _slots(hashes: list[np.ndarray]) -> np.ndarray:
+def _slots(hashes: list[np.ndarray], bits: int) -> np.ndarray:
     """The bit of a language and words, given by their hashes."""
     out = hashes[0]
     for h in hashes[1:]:
         out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h, 5)
-    return (out % np.uint64(_BITS)).astype(np.int64)
+    return (out % np.uint64(bits)).astype(np.int64)
 
 
-def _has(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
+def _has(bitmap: np.ndarray, hashes: list[np.ndarray]) -> np.ndarray:
+    slots = _slots(hashes, 8 * len(bitmap))
     return (bitmap[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
-def _bitmap(rows: DataFrame, *names: str) -> np.ndarray:
+def _bitmap(rows: DataFrame, size: int, *names: str) -> np.ndarray:
     """A bitmap of fixed size with the bits of all rows set, made from partial ones of each task."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = np.zeros(_BITS // 64, dtype=np.uint64)
+        words = np.zeros(size // 64, dtype=np.uint64)
         for batch in batches:
-            slots = _slots([_word_hashes(c.cast(pa.string())) for c in batch.columns])
+            slots = _slots([_word_hashes(c.cast(pa.string())) for c in batch.columns], size)
             np.bitwise_or.at(words, slots >> 6, np.uint64(1) << (slots & 63).astype(np.uint64))
         at = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at].view(np.int64))], names=["slot", "bits"])
 
-    # One row per 64 bits: at most _BITS / 64 rows reach the driver.
+    # One row per 64 bits: at most size / 64 rows reach the driver.
     found = rows.select(*names).mapInArrow(bits, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(_BITS // 64, dtype=np.uint64)
+    out = np.zeros(size // 64, dtype=np.uint64)
     out[found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return out.view(np.uint8)
 
@@ -143,7 +144,7 @@ def pair_counts(documents: DataFrame, frequent: np.ndarray, least: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            often = _has(sent.value, _slots([*block.hashes()]))[block.ids]
+            often = _has(sent.value, [*block.hashes()])[block.ids]
             at = np.flatnonzero(block.follows() & often[:-1] & often[1:])
             keys, counts = tally(block.ids[at] * len(block.keys) + block.ids[at + 1])
             yield block.rows(list(np.divmod(keys, len(block.keys))), counts)
@@ -164,8 +165,8 @@ def triple_counts(documents: DataFrame, frequent: np.ndarray, branches: np.ndarr
             size, (langs, words) = len(block.keys), block.hashes()
             pairs, which = np.unique(np.where(block.follows(), block.ids[:-1] * size + block.ids[1:], -1), return_inverse=True)
             a, b = np.divmod(pairs, size)
-            slots = _slots([langs[a], words[a], words[b]])
-            often, grown, asked = (_has(m, slots) & (pairs >= 0) for m in (frequent, branches, wanted))
+            hashes = [langs[a], words[a], words[b]]
+            often, grown, asked = (_has(m, hashes) & (pairs >= 0) for m in (frequent, branches, wanted))
             left, right = which[:-1], which[1:]
             at = np.flatnonzero(often[left] & often[right] & (grown[left] | asked[right]))
             keys, counts = tally(which[at] * size + block.ids[at + 2])
@@ -226,22 +227,23 @@ def _survivors(pairs: DataFrame, wanted: DataFrame, triples: DataFrame, levels:
     return longer.where("score >= level").unionByName(shorter)
 
 
-def collocations(documents: DataFrame, limit: int = 2000, least: int = 10, share: int = 50) -> DataFrame:
+def collocations(documents: DataFrame, limit: int = 2000, least: int = 10, share: int = 50, bits: int = _BITS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best `limit` phrases of two or three words with at least
-    `least` places. A phrase inside a longer one with at least `share` percent of its places is dropped."""
+    `least` places. A phrase inside a longer one with at least `share` percent of its places is dropped. `bits` is a
+    multiple of 64."""
     words = written(word_counts(documents, least), "phrase-words")
     totals = words.where("w1 is null").select("lang", F.col("f").alias("n"))
     words = words.where("w1 is not null")
-    pairs = pair_counts(documents, _bitmap(words, "lang", "w1"), least)
+    pairs = pair_counts(documents, _bitmap(words, bits, "lang", "w1"), least)
     pairs = written(_branches(pairs, words), "phrase-pairs")
-    frequent = _bitmap(pairs, "lang", "w1", "w2")
+    frequent = _bitmap(pairs, bits, "lang", "w1", "w2")
     open_pairs, depth, settled = pairs, 2 * limit, []
     while True:
         levels = written(_levels(open_pairs, depth), "phrase-levels")
         levelled = open_pairs.join(levels, "lang")
         branches, wanted = levelled.where("bound >= level"), levelled.where("score >= level")
-        bits = [_bitmap(x, "lang", "w1", "w2") for x in (branches, wanted)]
-        triples = written(triple_counts(documents, frequent, *bits, least), "phrase-triples")
+        grown = [_bitmap(x, bits, "lang", "w1", "w2") for x in (branches, wanted)]
+        triples = written(triple_counts(documents, frequent, *grown, least), "phrase-triples")
         found = written(_survivors(pairs, wanted, triples, levels, share), "phrase-found")
         enough = found.groupBy("lang").agg(F.count("*").alias("found")).where(F.col("found") >= limit).select("lang")
         done = written(enough.union(levels.where("level = 0").select("lang")).distinct(), "phrase-settled")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import collocations, decontaminate, jaccard, language, linear, neighbours, packing, periods, quality, suffixes, surrogates, toxicity, warc
+from recordloom.llm import collocations, decontaminate, jaccard, language, licences, linear, neighbours, packing, periods, quality, suffixes, surrogates, toxicity, warc
 from recordloom.scratch import new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,8 @@ def op11_collocations(spark, sf_dir):
 @query
 def op12_periodic_runs(spark, sf_dir):
     return periods.summary(periods.collapse(table(spark, sf_dir, "documents"), looped=True, texts=False))
+
+
+@query
+def op13_licence_scan(spark, sf_dir):
+    return licences.summary(licences.scan(table(spark, sf_dir, "documents"))).drop("spans")

@@ -31,7 +31,7 @@ from recordloom.llm.wordids import Numbered, from_bytes, grouped, number, tally
 from recordloom.llm.words import LOWER, mix, prefix_hash, span_hash
 from recordloom.scratch import written
 
-_BYTES = 8 << 20
+_BYTES = 4 << 20
 _BITS = 1 << 25
 
 _PIECE = np.zeros(256, dtype=bool)
@@ -47,26 +47,28 @@ def _word_hashes(words: pa.Array) -> np.ndarray:
     return mix(span_hash(prefix_hash(data), at[:-1], at[1:]), 3)
 
 
-def _slots(hashes: list[np.ndarray], bits: int) -> np.ndarray:
-    """The bit of a language and words, given by their hashes."""
+def _combined(hashes: list[np.ndarray]) -> np.ndarray:
+    """One hash of a language and words."""
     out = hashes[0]
     for h in hashes[1:]:
         out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h, 5)
-    return (out % np.uint64(bits)).astype(np.int64)
+    return out
 
 
-def _has(bitmap: np.ndarray, hashes: list[np.ndarray]) -> np.ndarray:
-    slots = _slots(hashes, 8 * len(bitmap))
+def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slots = (hashes % np.uint64(8 * len(bitmap))).astype(np.int64)
     return (bitmap[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
 def _bitmap(rows: DataFrame, size: int, *names: str) -> np.ndarray:
-    """A bitmap of fixed size with the bits of all rows set, made from partial ones of each task."""
+    """A bitmap of fixed size with the bits of all rows set, made from partial ones of each task. The rows hold
+    hashes, or a language and words."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = np.zeros(size // 64, dtype=np.uint64)
         for batch in batches:
-            slots = _slots([_word_hashes(c.cast(pa.string())) for c in batch.columns], size)
+            parts = [c.to_numpy().view(np.uint64) if pa.types.is_int64(c.type) else _word_hashes(c.cast(pa.string())) for c in batch.columns]
+            slots = (_combined(parts) % np.uint64(size)).astype(np.int64)
             np.bitwise_or.at(words, slots >> 6, np.uint64(1) << (slots & 63).astype(np.uint64))
         at = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at].view(np.int64))], names=["slot", "bits"])
@@ -138,14 +140,34 @@ def word_counts(documents: DataFrame, least: int) -> DataFrame:
     return found.where(F.col("w1").isNull() | (F.col("f") >= least))
 
 
-def pair_counts(documents: DataFrame, frequent: np.ndarray, least: int) -> DataFrame:
-    """(lang, w1, w2, f) for pairs with at least `least` places; `frequent` has the bits of all words with as many."""
+def pair_hashes(documents: DataFrame, frequent: np.ndarray, least: int) -> DataFrame:
+    """(h): hashes of pairs which together have at least `least` places, those of all pairs with as many among them.
+    `frequent` has the bits of all words with as many. Pairs are many and mostly rare; their hashes are short."""
     sent = documents.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            often = _has(sent.value, [*block.hashes()])[block.ids]
+            langs, words = block.hashes()
+            often = _has(sent.value, _combined([langs, words]))[block.ids]
             at = np.flatnonzero(block.follows() & often[:-1] & often[1:])
+            a, b = block.ids[at], block.ids[at + 1]
+            hashes, counts = tally(_combined([langs[a], words[a], words[b]]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(counts)], names=["h", "c"])
+
+    counted = _texts(documents).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("f"))
+    return counted.where(F.col("f") >= least).select("h")
+
+
+def pair_counts(documents: DataFrame, possible: np.ndarray, least: int) -> DataFrame:
+    """(lang, w1, w2, f) for pairs with at least `least` places; `possible` has the bits of all such pairs."""
+    sent = documents.sparkSession.sparkContext.broadcast(possible)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            langs, words = block.hashes()
+            at = np.flatnonzero(block.follows())
+            a, b = block.ids[at], block.ids[at + 1]
+            at = at[_has(sent.value, _combined([langs[a], words[a], words[b]]))]
             keys, counts = tally(block.ids[at] * len(block.keys) + block.ids[at + 1])
             yield block.rows(list(np.divmod(keys, len(block.keys))), counts)
 
@@ -165,7 +187,7 @@ def triple_counts(documents: DataFrame, frequent: np.ndarray, branches: np.ndarr
             size, (langs, words) = len(block.keys), block.hashes()
             pairs, which = np.unique(np.where(block.follows(), block.ids[:-1] * size + block.ids[1:], -1), return_inverse=True)
             a, b = np.divmod(pairs, size)
-            hashes = [langs[a], words[a], words[b]]
+            hashes = _combined([langs[a], words[a], words[b]])
             often, grown, asked = (_has(m, hashes) & (pairs >= 0) for m in (frequent, branches, wanted))
             left, right = which[:-1], which[1:]
             at = np.flatnonzero(often[left] & often[right] & (grown[left] | asked[right]))
@@ -234,7 +256,8 @@ def collocations(documents: DataFrame, limit: int = 2000, least: int = 10, share
     words = written(word_counts(documents, least), "phrase-words")
     totals = words.where("w1 is null").select("lang", F.col("f").alias("n"))
     words = words.where("w1 is not null")
-    pairs = pair_counts(documents, _bitmap(words, bits, "lang", "w1"), least)
+    possible = _bitmap(pair_hashes(documents, _bitmap(words, bits, "lang", "w1"), least), bits, "h")
+    pairs = pair_counts(documents, possible, least)
     pairs = written(_branches(pairs, words), "phrase-pairs")
     frequent = _bitmap(pairs, bits, "lang", "w1", "w2")
     open_pairs, depth, settled = pairs, 2 * limit, []

@@ -31,7 +31,7 @@ from recordloom.llm.wordids import Numbered, from_bytes, grouped, number, tally
 from recordloom.llm.words import LOWER, mix, prefix_hash, span_hash
 from recordloom.scratch import written
 
-_BYTES = 4 << 20
+_BYTES = 3 << 19
 _BITS = 1 << 25
 
 _PIECE = np.zeros(256, dtype=bool)

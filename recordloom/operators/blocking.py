@@ -5,20 +5,19 @@ Records that compare alike are collapsed into one *profile* first; a pair of pro
 
 Two generators follow. `decisive_pairs` lists the pairs that share a block and agree on enough fields
 to reach a decision threshold; which fields suffice is computed from the model, so nothing that could
-be accepted is missed. `neighbour_pairs` lists the pairs of a block that are at most `window` places
-apart in name order: the whole block up to `window + 1` profiles, a fixed number per profile beyond.
+be accepted is missed. `candidate_pairs` lists the pairs of a block that agree on an identifier or whose
+names pass a similarity threshold, by equality joins and by a threshold join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from recordloom.functions.text import drop_salts, inchikey_skeleton, name_prefix, normalize_name, token_set
 from recordloom.operators.enrich import one_row_per_id
 from recordloom.operators.scoring import AGREES_FROM, LinkModel
-from recordloom.scratch import written
+from recordloom.operators.similar import similar_names
 
 IDENTIFIERS = {"shared_cas": "cas_num", "shared_pubchem": "pubchem_cid", "shared_chembl": "chembl_id"}
 COMPARED = ["norm_name", "cas_num", "pubchem_cid", "chembl_id", "skeleton"]
@@ -177,42 +176,40 @@ def copy_pairs(profs: DataFrame) -> DataFrame:
     return profs.where((F.col("n") > 1) & blocked).select(F.col("id").alias("id_a"), F.col("id").alias("id_b"))
 
 
-def neighbour_pairs(profs: DataFrame, window: int = 1000) -> DataFrame:
-    """(id_a, id_b) of profiles of a common block at most `window` places apart in name order.
+def id_pairs(profs: DataFrame) -> DataFrame:
+    """(id_a, id_b) of profiles that share a block and agree on an identifier; the structure is both."""
+    keys = [F.when(F.col("skeleton").isNotNull(), F.xxhash64(F.lit("skeleton"), F.col("skeleton")))]
+    for column in IDENTIFIERS.values():
+        present = F.col("name_key").isNotNull() & F.col(column).isNotNull()
+        keys.append(F.when(present, F.xxhash64(F.lit(column), F.col("name_key"), F.col(column))))
+    named = ["id", "name_key", "skeleton", *IDENTIFIERS.values()]
+    # 64-bit keys keep the shuffle narrow; what a chance collision adds is taken out afterwards.
+    met = pairs_on_key(profs.select(F.explode(F.array_compact(F.array(*keys))).alias("key"), "id"))
+    a = profs.select(*[F.col(c).alias(f"{c}_a") for c in named])
+    b = profs.select(*[F.col(c).alias(f"{c}_b") for c in named])
 
-    Rows get their place in one global order, the order is cut into tiles of `window` places, and each
-    tile is joined with itself and the next. Tiles have equal size whatever the blocks look like.
-    """
-    keyed = profs.select(F.explode(key_column()).alias("key"), "name", "id")
-    order = ["key", "name", "id"]
-    ordered = written(
-        keyed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()),
-        "block-order",
-    )
-    # The generated id holds the partition above bit 33 and the place inside it below.
-    part, inside = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    sizes = ordered.groupBy(part.alias("part")).agg((F.max(inside) + 1).alias("size"))
-    before = F.sum("size").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
-    starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("start"))
-    # One row per partition of the sort.
-    placed = ordered.withColumn("part", part).join(F.broadcast(starts), "part")
-    rows = placed.select("key", "id", (F.col("start") + inside).alias("pos"))
-    rows = rows.withColumn("tile", F.floor(F.col("pos") / window))
-    left = rows.select("tile", "key", F.col("id").alias("l"), F.col("pos").alias("lp"))
-    right = rows.select(
-        F.explode(F.array("tile", F.col("tile") - 1)).alias("tile"), "key", F.col("id").alias("r"), F.col("pos").alias("rp")
-    )
-    near = left.join(right, ["tile", "key"]).where((F.col("rp") - F.col("lp")).between(1, window))
-    return near.select(F.least("l", "r").alias("id_a"), F.greatest("l", "r").alias("id_b"))
+    def same(column: str) -> Column:
+        return F.coalesce(F.col(f"{column}_a") == F.col(f"{column}_b"), F.lit(False))
+
+    agreed = same("cas_num") | same("pubchem_cid") | same("chembl_id")
+    return met.join(a, "id_a").join(b, "id_b").where(same("skeleton") | (same("name_key") & agreed)).select("id_a", "id_b")
+
+
+def name_pairs(profs: DataFrame, similar: float = AGREES_FROM["name_jaro_winkler"]) -> DataFrame:
+    """(id_a, id_b) of profiles of one name block whose names have at least this Jaro-Winkler similarity."""
+    named = profs.where(F.col("name_key").isNotNull())
+    alike = similar_names(named.select(F.col("name_key").alias("block"), "name"), similar)
+    a = named.select(F.col("name").alias("name_a"), F.col("id").alias("l"))
+    b = named.select(F.col("name").alias("name_b"), F.col("id").alias("r"))
+    unlike_ids = alike.join(a, "name_a").join(b, "name_b").select(F.least("l", "r").alias("id_a"), F.greatest("l", "r").alias("id_b"))
+    return unlike_ids.unionByName(pairs_on_key(named.select(F.col("name").alias("key"), "id")))
 
 
-def candidate_pairs(
-    profs: DataFrame, window: int = 1000, model: LinkModel = LinkModel(), threshold: float = 0.45
-) -> DataFrame:
-    """Candidate (id_a, id_b) of profiles, id_a < id_b, or id_a = id_b for the copies inside a profile.
+def candidate_pairs(profs: DataFrame, similar: float = AGREES_FROM["name_jaro_winkler"]) -> DataFrame:
+    """Candidate (id_a, id_b) of profiles, id_a < id_b, or id_a = id_b for the copies inside a profile: those that
+    share a block and agree on an identifier, or share a name block and have names alike.
 
-    Every pair of a block of up to `window + 1` profiles; in larger blocks the nearest names and every
-    pair that could reach `threshold` under the model.
+    The rule is the same for blocks of any size. The output grows with the pairs that satisfy it.
     """
-    listed = neighbour_pairs(profs, window).unionByName(decisive_pairs(profs, model, threshold)).distinct()
+    listed = id_pairs(profs).unionByName(name_pairs(profs, similar)).distinct()
     return listed.unionByName(copy_pairs(profs))

@@ -108,7 +108,9 @@ _FEATURES = (
     f"{_RAW}, {_similar('raw', '*', 'sa', 'sb')}, "
     "feat as (select id_a, id_b, n_pairs, jaro_winkler as name_jaro_winkler,"
     f" case when greatest(length(a), length(b)) = 0 then 0.0 else 1.0 - {_lev('a', 'b')}::double / greatest(length(a), length(b)) end"
-    f" as name_levenshtein_norm, {_jaccard('na', 'nb')} as token_jaccard, shared_cas, shared_inchikey, shared_pubchem, shared_chembl from jw)"
+    f" as name_levenshtein_norm, {_jaccard('na', 'nb')} as token_jaccard, shared_cas, shared_inchikey, shared_pubchem, shared_chembl from jw"
+    # A candidate agrees on an identifier or has a similar name.
+    " where id_a = id_b or shared_cas or shared_inchikey or shared_pubchem or shared_chembl or jaro_winkler >= 0.92)"
 )
 
 _MODEL = LinkModel()
@@ -140,7 +142,6 @@ _VOTES = (
 _PLAIN = f"with {_REG} "
 _NAMED = f"with {_REG}, {_NORM} "
 _BLOCK = f"with {_REG}, {_NORM}, {_PROF} "
-_CAND = f"with {_REG}, {_NORM}, {_PROF}, {_PAIRS} "
 _FEAT = f"with {_REG}, {_NORM}, {_PROF}, {_PAIRS}, {_FEATURES} "
 _LINK = f"with {_REG}, {_NORM}, {_PROF}, {_PAIRS}, {_FEATURES}, {_SCORED} "
 _WEAK = f"with {_REG}, {_NORM}, {_PROF}, {_PAIRS}, {_FEATURES}, {_VOTES} "
@@ -381,7 +382,7 @@ ORACLES["profiles"] = _BLOCK + "select id, n, short as name, name_key, skeleton
 ORACLES["profile_members"] = (
     _NAMED + "select min(drugbank_id) over (partition by nn, cas_num, pubchem_cid, chembl_id, skeleton) as profile, drugbank_id as id from keyed"
 )
-ORACLES["candidate_pairs"] = _CAND + "select id_a, id_b from pairs"
+ORACLES["candidate_pairs"] = _FEAT + "select id_a, id_b from feat"
 _GRADED = ", ".join(f"round({f}, 6) as {f}" for f in FEATURES if not f.startswith("shared"))
 _SHARED = [f for f in FEATURES if f.startswith("shared")]
 ORACLES["pair_features"] = _FEAT + f"select id_a, id_b, n_pairs, {_GRADED}, {', '.join(_SHARED)} from feat"

@@ -1,4 +1,4 @@
-"""Name search: postings of three views of a name, and BM25 scoring over them."""
+"""Name search: postings of three views of a name, and the best names by BM25 over them, without reading whole lists."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from recordloom.functions.phonetic import metaphone
 from recordloom.functions.text import edge_ngrams
-from recordloom.partitioning import by_work
+from recordloom.partitioning import spread
+from recordloom.scratch import written
 
 # View -> weight in the combined score.
 BOOSTS = {"words": 3.0, "phonetic": 2.0, "autocomplete": 1.0}
@@ -31,7 +32,7 @@ def view_tokens(df: DataFrame, text: str, *keys: str) -> DataFrame:
         *keys, "v.view", F.size("v.tokens").alias("length"), F.explode("v.tokens").alias("token")
     )
     spoken = worded.select(*keys, F.explode("w").alias("word"))
-    codes = by_work(spoken.select("word").distinct(), "word").select("word", metaphone(F.col("word")).alias("code"))
+    codes = spread(spoken.select("word").distinct()).select("word", metaphone(F.col("word")).alias("code"))
     both = F.explode(F.array_distinct(F.array_compact(F.array("word", "code")))).alias("token")
     heard = spoken.join(codes, "word").select(*keys, both)
     # One text per window.
@@ -65,62 +66,168 @@ def allowed_edits(token: Column) -> Column:
     return F.when(n <= 2, 0).when(n <= 5, 1).otherwise(2)
 
 
-def _deletions(token: Column) -> Column:
-    """The token and all it becomes by deleting up to two letters, as many as its length allows.
-    Two tokens within d edits have one of these in common."""
+#: Most edits forgiven.
+_EDITS = 2
 
-    def shorter(t: Column) -> Column:
-        return F.transform(
-            F.filter(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), lambda i: i <= F.length(t)),
-            lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))),
-        )
 
-    once = shorter(token)
-    twice = F.flatten(F.transform(once, shorter))
-    return F.array_distinct(F.concat(F.array(token), once, twice))
+def _piece_key(edits, length: Column, piece: Column, letters: Column) -> Column:
+    """64-bit keys keep the shuffle narrow; a chance collision only adds a pair to measure."""
+    return F.xxhash64(F.lit(edits), length, piece, letters)
+
+
+def _bounds(edits: int, length: Column, piece: Column) -> tuple[Column, Column]:
+    """Where a piece begins and ends, counted from 0, when a word is cut into `edits` + 1 even pieces."""
+    return F.floor(piece * length / (edits + 1)).cast("int"), F.floor((piece + 1) * length / (edits + 1)).cast("int")
+
+
+def _term_keys(term: Column) -> Column:
+    """The pieces of an index word, for each number of edits that can lead to it: six keys for a word of any length."""
+    length = F.length(term)
+    keys = [F.when(length <= 2, _piece_key(0, length, F.lit(0), term))]
+    for edits in range(1, _EDITS + 1):
+        for i in range(edits + 1):
+            start, end = _bounds(edits, length, F.lit(i))
+            keys.append(F.when(length > edits, _piece_key(edits, length, F.lit(i), F.substring(term, start + 1, end - start))))
+    return F.array_compact(F.array(*keys))
+
+
+def _token_keys(token: Column, edits: int) -> Column:
+    """Where the pieces of a word within `edits` of `token` may stand in it: a word of another length by as much, cut
+    into one piece more than there are edits, has a piece that no edit touches and that is moved by at most as many
+    letters. Their number depends on the edits alone."""
+    length = F.length(token)
+    if edits == 0:
+        return F.array(_piece_key(0, length, F.lit(0), token))
+    shifts = range(-edits, edits + 1)
+    tried = [(d, i, s) for d in shifts for i in range(edits + 1) for s in shifts]
+    options = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(s).alias("s")) for d, i, s in tried])
+
+    def key(o: Column) -> Column:
+        other = length + o["d"]
+        start, end = _bounds(edits, other, o["i"])
+        at = start + o["s"]
+        fits = (other > edits) & (at >= 0) & (at + end - start <= length)
+        return F.when(fits, _piece_key(edits, other, o["i"], F.substring(token, at + 1, end - start)))
+
+    return F.array_distinct(F.array_compact(F.transform(options, key)))
 
 
 def fuzzy_terms(query_tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(token, term, weight): vocabulary terms within the allowed edits of each query token. Exact hits
     weigh 1, others 1 - edits / shorter length."""
     q = query_tokens.select("token").distinct().withColumn("edits", allowed_edits(F.col("token")))
-    left = q.select("token", "edits", F.explode(F.when(F.col("edits") == 0, F.array("token")).otherwise(_deletions(F.col("token")))).alias("key"))
-    right = by_work(vocabulary, "term").select("term", F.explode(_deletions(F.col("term"))).alias("key"))
-    near = left.join(right, "key").select("token", "term", "edits").distinct()
-    distance = F.levenshtein("token", "term")
-    kept = near.withColumn("d", distance).where(F.col("d") <= F.col("edits"))
+    keys = F.when(F.col("edits") == 0, _token_keys(F.col("token"), 0))
+    for edits in range(1, _EDITS + 1):
+        keys = keys.when(F.col("edits") == edits, _token_keys(F.col("token"), edits))
+    left = q.select("token", "edits", F.explode(keys).alias("key"))
+    right = spread(vocabulary).select("term", F.explode(_term_keys(F.col("term"))).alias("key"))
+    # The bounded distance is -1 beyond the bound.
+    near = spread(left.join(right, "key").select("token", "term", "edits")).withColumn("d", F.levenshtein("token", "term", _EDITS)).where(F.col("d").between(0, F.col("edits")))
     weight = 1.0 - F.col("d") / F.least(F.length("token"), F.length("term"))
-    return kept.select("token", "term", weight.alias("weight")).where(F.col("weight") > 0)
+    return near.select("token", "term", "d").distinct().select("token", "term", weight.alias("weight")).where(F.col("weight") > 0)
 
 
-def search_names(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """(query_id, name, n, score, rank): the k best names of each query (query_id, text).
+def gain(tf: Column, length: Column, average: Column) -> Column:
+    """What a token adds to a name's score, per unit of the token's weight; at most 1."""
+    return tf / (tf + K1 * (1.0 - B + B * length / average))
 
-    The score is the sum over the three views of boost * BM25; a name needs a hit in one view. Document
-    counts and lengths are those of records, so a name borne by many records counts as often.
+
+#: Postings of a token are layered by gain, into this many steps of equal width.
+_LEVELS = 16
+
+
+def impact_blocks(index: DataFrame, shards: int = 8, size: int = 256) -> DataFrame:
+    """(view, token, level, shard, block, top, postings): the postings of each token, layered by gain, dealt by name to
+    `shards` and cut into blocks of `size`; `top` is the largest gain of the block.
+
+    However many names hold a token, its list is spread over layers and shards, and a block has a bounded size.
     """
+    # One row per view.
+    stats = F.broadcast(view_stats(index))
+    worth = gain(F.col("tf").cast("double"), F.col("length"), F.col("avg_length"))
+    rated = index.join(stats, "view").select("view", "token", "name", "n", worth.alias("gain"))
+    shard = F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int")
+    layered = rated.withColumns({"level": F.ceil(F.col("gain") * _LEVELS).cast("int"), "shard": shard})
+    layer = ["view", "token", "level", "shard"]
+    place = F.row_number().over(W.partitionBy(*layer).orderBy(F.desc("gain"), "name"))
+    blocked = layered.withColumn("block", F.floor((place - 1) / size).cast("int"))
+    return blocked.groupBy(*layer, "block").agg(F.max("gain").alias("top"), F.collect_list(F.struct("name", "n", "gain")).alias("postings"))
+
+
+def token_weights(index: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, view, token, w): the index tokens that queries (query_id, text) reach in the three views, and what a
+    full gain of each is worth: boost * weight of the hit * inverse document frequency."""
     wanted = view_tokens(queries, "text", "query_id").groupBy("query_id", "view", "token").agg(F.count("*").cast("double").alias("qtf"))
-
     word_terms = wanted.where(F.col("view") == "words")
     vocabulary = index.where(F.col("view") == "words").select(F.col("token").alias("term")).distinct()
     fuzzy = word_terms.join(fuzzy_terms(word_terms, vocabulary), "token")
     fuzzy = fuzzy.select("query_id", "view", F.col("term").alias("token"), (F.col("qtf") * F.col("weight")).alias("qtf"))
     weighted = fuzzy.unionByName(wanted.where(F.col("view") != "words"))
     weighted = weighted.groupBy("query_id", "view", "token").agg(F.sum("qtf").alias("qtf"))
-
     frequency = index.groupBy("view", "token").agg(F.sum("n").cast("double").alias("df"))
-    # One row per view.
-    stats = F.broadcast(view_stats(index))
     boost = F.create_map(*[F.lit(x) for pair in BOOSTS.items() for x in pair])
-    scored = weighted.join(frequency, ["view", "token"]).join(stats, "view")
+    scored = weighted.join(frequency, ["view", "token"]).join(F.broadcast(view_stats(index)), "view")
     idf = F.log(1.0 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    priced = scored.select(
-        "query_id", "view", "token", "avg_length", (F.try_element_at(boost, F.col("view")) * F.col("qtf") * idf).alias("w")
-    )
-    tf, length = F.col("tf").cast("double"), F.col("length")
-    gain = F.col("w") * tf / (tf + K1 * (1.0 - B + B * length / F.col("avg_length")))
-    # Partitioned by query, so that the sums and the ranking need no further exchange while the postings
-    # are small enough to be broadcast.
-    hits = by_work(priced, "query_id").join(index, ["view", "token"]).groupBy("query_id", "name", "n").agg(F.round(F.sum(gain), 6).alias("score"))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "name"))
-    return hits.withColumn("rank", rank).where(F.col("rank") <= k)
+    return scored.select("query_id", "view", "token", (F.try_element_at(boost, F.col("view")) * F.col("qtf") * idf).alias("w"))
+
+
+#: Scores are rounded to six places; bounds leave room for that.
+_ROUNDING = 2e-6
+#: The share of the score to reach that layers set aside may make up. More sets more postings aside and leaves more
+#: names to look up; below 1, any share gives the same result.
+_ASIDE = 0.1
+
+
+def search_names(index: DataFrame, queries: DataFrame, k: int = 10, shards: int = 8, block: int = 256) -> DataFrame:
+    """(query_id, name, n, score, rank): the k best names of each query (query_id, text).
+
+    The score is the sum over the three views of boost * BM25; a name needs a hit in one view. Document
+    counts and lengths are those of records, so a name borne by many records counts as often.
+
+    Lists are not read whole (MaxScore, Turtle and Flood 1995, over impact layers, Anh and Moffat 2006). The top layers
+    of a query's tokens name k candidates, whose scores the result must reach. Layers of all tokens, least
+    gain first, are then set aside as long as even together they bring a name only part of the way. Sums over the other
+    layers leave the names that may still reach it, and these are scored by looking up their own postings. The
+    result is that of scoring every name.
+    """
+    blocks = written(impact_blocks(index, shards, block), "impact-blocks")
+    weights = written(token_weights(index, queries), "token-weights")
+    worth = gain(F.col("tf").cast("double"), F.col("length"), F.col("avg_length"))
+    rated = index.join(F.broadcast(view_stats(index)), "view").withColumn("gain", worth).withColumn("level", F.ceil(F.col("gain") * _LEVELS).cast("int"))
+    by_query = W.partitionBy("query_id")
+
+    def scores(names: DataFrame) -> DataFrame:
+        """Scores of (query_id, name), by name and token, which no token holds in one place."""
+        found = names.join(weights, "query_id").join(rated, ["view", "token", "name"])
+        return found.groupBy("query_id", "name").agg(F.round(F.sum(F.col("w") * F.col("gain")), 6).alias("score"))
+
+    layers = blocks.groupBy("view", "token", "level").agg(F.max("top").alias("top"))
+    units = weights.join(layers, ["view", "token"]).withColumn("bound", F.col("w") * F.col("top"))
+    units = units.withColumn("first", F.row_number().over(W.partitionBy("query_id", "view", "token").orderBy(F.desc("level"))) == 1)
+    units = written(units, "layers")
+    key = ["view", "token", "level"]
+
+    some = units.where("first").join(blocks.where(F.col("block") == 0), key)
+    some = some.select("query_id", "w", F.explode(F.slice("postings", 1, k)).alias("p"))
+    some = some.groupBy("query_id", F.col("p.name").alias("name")).agg(F.sum(F.col("w") * F.col("p.gain")).alias("part"))
+    place = F.row_number().over(by_query.orderBy(F.desc("part"), "name"))
+    likely = some.withColumn("place", place).where(F.col("place") <= k).select("query_id", "name")
+    floor = F.when(F.count("*") == k, F.min("score") - _ROUNDING).otherwise(F.lit(0.0))
+    reached = written(scores(likely).groupBy("query_id").agg(floor.alias("reached")), "reached")
+
+    # Of a token a name has one posting, so a layer adds to what the layer below it may bring.
+    step = F.col("bound") - F.coalesce(F.lag("bound").over(W.partitionBy("query_id", "view", "token").orderBy("bound")), F.lit(0.0))
+    rising = by_query.orderBy("bound", *key).rowsBetween(W.unboundedPreceding, 0)
+    judged = units.join(reached, "query_id").withColumn("step", step).withColumn("together", F.sum("step").over(rising))
+    judged = written(judged.withColumn("aside", F.col("together") < _ASIDE * F.col("reached")), "judged-layers")
+    unseen = judged.where("aside").groupBy("query_id").agg(F.sum("step").alias("unseen"))
+    seen = judged.where(~F.col("aside")).join(blocks.drop("top"), key).select("query_id", "w", F.explode("postings").alias("p"))
+    sums = seen.groupBy("query_id", F.col("p.name").alias("name"), F.col("p.n").alias("n")).agg(F.sum(F.col("w") * F.col("p.gain")).alias("part"))
+    bounds = reached.join(unseen, "query_id", "left").select("query_id", (F.col("reached") - F.coalesce("unseen", F.lit(0.0))).alias("needed"))
+    left = written(sums.join(bounds, "query_id").where(F.col("part") >= F.col("needed")).drop("needed"), "left-names")
+    looked_up = left.select("query_id", "name").join(judged.where("aside").select("query_id", *key, "w"), "query_id").join(rated, [*key, "name"])
+    rest = looked_up.groupBy("query_id", "name").agg(F.sum(F.col("w") * F.col("gain")).alias("rest"))
+    score = F.round(F.col("part") + F.coalesce("rest", F.lit(0.0)), 6)
+    rank = F.row_number().over(by_query.orderBy(F.desc("score"), "name"))
+    scored = left.join(rest, ["query_id", "name"], "left").select("query_id", "name", "n", score.alias("score"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k)

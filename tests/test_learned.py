@@ -159,3 +159,51 @@ def test_fuzzy_terms_equal_all_distances(spark, token, edits):
     distance = vocabulary.withColumn("d", F.levenshtein(F.lit(token), "term"))
     near = distance.where((F.col("d") <= edits) & (F.col("d") < F.least(F.lit(len(token)), F.length("term"))))
     assert got == {r["term"] for r in near.collect()}
+
+
+def test_fuzzy_keys_of_long_words_stay_few(spark):
+    long = "".join(random.Random(2).choices("abcde", k=5000))
+    near = [long[:40] + "x" + long[41:], long[1:], long[:-2], long[:100] + "zz" + long[100:], long[:7] + long[9:]]
+    far = [long[3:], long + "xyz", long[::-1]]
+    row = spark.createDataFrame([(long,)], "token string")
+    keys = row.select(F.size(search._term_keys(F.col("token"))), F.size(search._token_keys(F.col("token"), 2))).first()
+    assert keys[0] == 5 and keys[1] <= 75
+    vocabulary = spark.createDataFrame([(t,) for t in [long, *near, *far]], "term string")
+    assert {r["term"] for r in search.fuzzy_terms(row, vocabulary).collect()} == {long, *near}
+
+
+def exhaustive(index, queries, k):
+    """Every hit of every token, added up."""
+    weights = search.token_weights(index, queries)
+    rated = index.join(search.view_stats(index), "view")
+    worth = F.col("w") * search.gain(F.col("tf").cast("double"), F.col("length"), F.col("avg_length"))
+    hits = weights.join(rated, ["view", "token"]).groupBy("query_id", "name", "n").agg(F.round(F.sum(worth), 6).alias("score"))
+    best = {}
+    for r in hits.collect():
+        best.setdefault(r["query_id"], []).append((-r["score"], r["name"], r["n"]))
+    return {(q, rank, name, n, -score) for q, rows in best.items() for rank, (score, name, n) in enumerate(sorted(rows)[:k], 1)}
+
+
+@pytest.mark.parametrize("k", [1, 7])
+def test_search_equals_scoring_every_name(spark, k):
+    rng = random.Random(k)
+    words = ["acid", "salt", "oxide", "amine", "ester", "ether", "ketone", "phenol", "nitrate", "citrate"]
+    # One word is in every name, and some names are borne by many records.
+    names = [f"drug {rng.choice(words)} {rng.choice(words)}{rng.choice(['', 's', ' forte'])} {rng.randint(0, 40)}" for _ in range(1500)]
+    df = spark.createDataFrame([(str(i), x) for i, x in enumerate(names)], "id string, name string")
+    index = search.written(search.build_name_index(search.distinct_names(df, "id", "name")), "postings")
+    asked = spark.createDataFrame(
+        [("a", "drug acid oxide 7"), ("b", "drug"), ("c", "nitrat ethr"), ("d", "no such"), ("e", "drug phenol forte"), ("f", "")],
+        "query_id string, text string",
+    )
+    found = search.search_names(index, asked, k, shards=3, block=16).collect()
+    assert {(r["query_id"], r["rank"], r["name"], r["n"], r["score"]) for r in found} == exhaustive(index, asked, k)
+    assert len(found) == len({(r["query_id"], r["rank"]) for r in found})
+
+
+def test_hot_lists_are_cut(spark):
+    df = spark.range(4000).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("drug "), "id").alias("name"))
+    index = search.build_name_index(search.distinct_names(df, "id", "name"))
+    blocks = search.impact_blocks(index, shards=4, size=100).where("view = 'words' and token = 'drug'")
+    sizes = [len(r["postings"]) for r in blocks.collect()]
+    assert sum(sizes) == 4000 and max(sizes) <= 100 and blocks.select("shard").distinct().count() == 4

@@ -1,17 +1,20 @@
 """Nearest neighbours over embeddings, as further candidate pairs.
 
-Vectors are ordered by the bits of random hyperplanes, so near vectors land near each other. The
-order is cut into partitions, and inside a partition into blocks; a block is compared with itself and
-the next one by matrix products. Work and memory per vector are fixed, and copies of one vector
-spread over as many partitions as they need. Several orders are used, since one order may part two
-near vectors (Charikar 2002; Ravichandran, Pantel and Hovy 2005). With no more than two blocks of
-vectors the result is exact.
+Several trees are grown over the directions of the distinct vectors. A node with more than `leaf` vectors is split by
+three planes at once, each moved to the mean of the node, so that a tight cluster is parted like everything else
+(random projection trees, Dasgupta and Freund 2008); all trees grow one level per round. Vectors that share a
+leaf of some tree are compared. Then, a few times, the neighbours of every vector are compared with each other and
+with it, since near vectors have neighbours in common (Dong, Moses and Li 2011). The rule is one at every size: projections and means are whole numbers, so the trees
+do not depend on partitions or on the order of sums. Recall is measured, not promised; more trees and
+refinements raise it.
+
+Copies of a vector are one point of the trees. Each of them gets the smallest other ids of its copies first. Points that
+`rounds` rounds of planes leave together in more than `chunk` are compared by chunks of consecutive ids. Vectors that
+are null, empty, zero or not finite take no part. Work and memory of a task are bounded by the leaf or chunk.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,94 +22,128 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_BITS = 48
-
+from recordloom.scratch import written
 
-def _hyperplane_code(dimension: int, seed: int):
-    planes = np.random.default_rng(seed).standard_normal((dimension, _BITS))
-    powers = 1 << np.arange(_BITS - 1, -1, -1, dtype=np.int64)
+#: Units of a projection.
+SCALE = 1 << 20
+#: Planes by which a node is split at once.
+SPLIT = 3
 
-    @F.pandas_udf(T.LongType())
-    def code(vectors: pd.Series) -> pd.Series:
-        if len(vectors) == 0:
-            return pd.Series([], dtype="int64")
-        return pd.Series((np.vstack(vectors.to_numpy()) @ planes > 0) @ powers)
 
-    return code
+def planes(dimension: int, trees: int, rounds: int, seed: int) -> np.ndarray:
+    """Plane normals of +1 and -1, by tree and round."""
+    return np.random.default_rng(seed).integers(0, 2, (trees, rounds * SPLIT, dimension)) * 2 - 1
 
 
 def _unit(vectors: list) -> np.ndarray:
     m = np.asarray(vectors, dtype=np.float64)
-    norm = np.linalg.norm(m, axis=1, keepdims=True)
-    return m / np.where(norm == 0, 1.0, norm)
-
-
-def _best(ids: np.ndarray, others: np.ndarray, sims: np.ndarray, k: int) -> pd.DataFrame:
-    """The k most similar others of each id, ties by id."""
-    sims = np.round(sims, 6)
-    sims[ids[:, None] == others[None, :]] = -np.inf
-    order = np.lexsort((np.broadcast_to(others, sims.shape), -sims), axis=1)[:, :k]
-    rows = np.repeat(np.arange(len(ids)), order.shape[1])
-    picked = order.reshape(-1)
-    out = pd.DataFrame({"id": ids[rows], "neighbour": others[picked], "cosine": sims[rows, picked]})
-    return out[np.isfinite(out["cosine"])]
-
-
-def _neighbours(k: int, block: int):
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        held: list[pd.DataFrame] = []
-        size = 0
-        for pdf in batches:
-            held.append(pdf)
-            size += len(pdf)
-            while size >= block:
-                whole = pd.concat(held)
-                yield whole["id"].to_numpy()[:block], _unit(list(whole["vector"][:block]))
-                held, size = [whole[block:]], size - block
-        if size:
-            whole = pd.concat(held)
-            yield whole["id"].to_numpy(), _unit(list(whole["vector"]))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        previous = None
-        for ids, m in blocks(batches):
-            yield _best(ids, ids, m @ m.T, k)
-            if previous is not None:
-                cross = m @ previous[1].T
-                yield _best(ids, previous[0], cross, k)
-                yield _best(previous[0], ids, cross.T, k)
-            previous = (ids, m)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def _projections(normals: np.ndarray):
+    flat = normals.reshape(-1, normals.shape[-1]).T.astype(np.float64)
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def project(vectors: pd.Series) -> pd.Series:
+        if len(vectors) == 0:
+            return pd.Series([], dtype=object)
+        # Products of whole numbers below 2^53 are exact in doubles.
+        whole = np.rint(_unit(list(vectors)) * SCALE) @ flat
+        return pd.Series(list(whole.astype(np.int64)))
+
+    return project
+
+
+def _grown(points: DataFrame, trees: int, rounds: int, leaf: int) -> DataFrame:
+    """(rep, tree, node): the leaf of every point in every tree, from points (rep, projections)."""
+    width = rounds * SPLIT
+    tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+    rows = points.select("rep", tree, "projections")
+    rows = rows.select("rep", "tree", F.lit(0).cast("long").alias("node"), F.slice("projections", F.col("tree") * width + 1, width).alias("at"))
+    leaves = None
+    for r in range(rounds):
+        rows = written(rows, "tree-level")
+        here = [F.get("at", F.lit(r * SPLIT + i)) for i in range(SPLIT)]
+        sums = [F.sum(p).alias(f"sum{i}") for i, p in enumerate(here)]
+        # One row per node of this level.
+        nodes = written(rows.groupBy("tree", "node").agg(F.count("*").alias("n"), *sums), "tree-nodes")
+        if nodes.where(F.col("n") > leaf).isEmpty():
+            break
+        placed = rows.join(nodes, ["tree", "node"])
+        whole = placed.where(F.col("n") <= leaf).select("rep", "tree", "node")
+        leaves = whole if leaves is None else leaves.unionByName(whole)
+        side = F.lit(1)
+        for i, p in enumerate(here):
+            side = side + F.when(F.col("n") * p > F.col(f"sum{i}"), 1 << i).otherwise(0)
+        # The digits of a node are its sides on the way down.
+        child = F.col("node") * ((1 << SPLIT) + 1) + side
+        rows = placed.where(F.col("n") > leaf).select("rep", "tree", child.alias("node"), "at")
+    rest = rows.select("rep", "tree", "node")
+    return rest if leaves is None else leaves.unionByName(rest)
+
+
+def _best_of_leaf(k: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, m = pdf["rep"].to_numpy(), _unit(list(pdf["vector"]))
+        sims = np.round(m @ m.T, 6)
+        np.fill_diagonal(sims, -np.inf)
+        order = np.lexsort((np.broadcast_to(ids, sims.shape), -sims), axis=1)[:, : min(k, len(ids) - 1)]
+        rows = np.repeat(np.arange(len(ids)), order.shape[1])
+        picked = order.reshape(-1)
+        return pd.DataFrame({"rep": ids[rows], "other": ids[picked], "cosine": sims[rows, picked]})
 
     return run
 
 
+def _nearest(pairs: DataFrame, k: int) -> DataFrame:
+    """The k best (rep, other, cosine) of each point, from pairs found once or more."""
+    best = F.row_number().over(W.partitionBy("rep").orderBy(F.desc("cosine"), "other"))
+    once = pairs.groupBy("rep", "other").agg(F.max("cosine").alias("cosine"))
+    return once.withColumn("place", best).where(F.col("place") <= k).drop("place")
+
+
 def knn_pairs(
     embeddings: DataFrame,
     k: int = 10,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    orders: int = 4,
-    block: int = 1024,
-    partition_rows: int = 100_000,
+    trees: int = 12,
+    leaf: int = 256,
+    rounds: int = 10,
+    chunk: int = 1024,
+    refinements: int = 3,
     seed: int = 42,
 ) -> DataFrame:
-    """(id, neighbour, cosine, rank): the k most similar other vectors of each, ties by id."""
-    rows = embeddings.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
-    size = rows.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
-    partitions = max(1, -(-size["n"] // partition_rows))
-    schema = T.StructType(
-        [rows.schema["id"], T.StructField("neighbour", rows.schema["id"].dataType), T.StructField("cosine", T.DoubleType())]
-    )
-    # A few blocks cover everything: one order already compares all vectors.
-    tables = 1 if size["n"] <= 2 * block else orders
-    found = None
-    for table in range(tables):
-        coded = rows.withColumn("code", _hyperplane_code(size["d"] or 1, seed + table)("vector"))
-        # The hash spreads equal codes, so copies do not meet in one partition.
-        order = ["code", F.xxhash64("id"), "id"]
-        sorted_rows = coded.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-        near = sorted_rows.select("id", "vector").mapInPandas(_neighbours(k, block), schema)
-        found = near if found is None else found.unionByName(near)
-    best = F.row_number().over(W.partitionBy("id").orderBy(F.desc("cosine"), "neighbour"))
-    distinct = found.distinct() if tables > 1 else found
-    return distinct.withColumn("rank", best).where(F.col("rank") <= k)
+    """(id, neighbour, cosine, rank): the k most similar other vectors found of each, ties by id."""
+    rows = embeddings.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = rows.where(F.col("id").isNotNull() & finite & F.exists("vector", lambda x: x != 0))
+    points = written(rows.groupBy("vector").agg(F.min("id").alias("rep")), "points")
+    dimension = points.agg(F.max(F.size("vector"))).first()[0] or 1
+    project = _projections(planes(dimension, trees, rounds, seed))
+    leaves = _grown(points.select("rep", project("vector").alias("projections")), trees, rounds, leaf)
+    place = F.row_number().over(W.partitionBy("tree", "node").orderBy("rep"))
+    leaves = leaves.withColumn("chunk", F.floor((place - 1) / chunk))
+    schema = T.StructType([T.StructField("rep", rows.schema["id"].dataType), T.StructField("other", rows.schema["id"].dataType), T.StructField("cosine", T.DoubleType())])
+    met = leaves.join(points, "rep").groupBy("tree", "node", "chunk").applyInPandas(_best_of_leaf(k), schema)
+    # Twice as many as asked for are kept while the graph is refined.
+    near = written(_nearest(met, 2 * k), "neighbours")
+    for _ in range(refinements):
+        circle = near.select(F.col("rep").alias("centre"), F.col("other").alias("rep"))
+        circle = circle.unionByName(points.select(F.col("rep").alias("centre"), "rep"))
+        # A circle has at most 2k + 1 vectors.
+        met = circle.join(points, "rep").groupBy("centre").applyInPandas(_best_of_leaf(k), schema)
+        near = written(_nearest(met.unionByName(near), 2 * k), "neighbours")
+
+    # Of the copies of a point only the first k + 1 ids can be among the k nearest of anything.
+    members = written(rows.join(points, "vector").select("rep", "id"), "members")
+    first = members.withColumn("place", F.row_number().over(W.partitionBy("rep").orderBy("id"))).where(F.col("place") <= k + 1)
+    others = near.join(first.select(F.col("rep").alias("other"), F.col("id").alias("neighbour")), "other").select("rep", "neighbour", "cosine")
+    own = first.select("rep", F.col("id").alias("neighbour"), F.lit(1.0).alias("cosine"))
+    order = [F.desc("cosine"), "neighbour"]
+    best = F.row_number().over(W.partitionBy("rep").orderBy(*order))
+    listed = others.unionByName(own).withColumn("place", best).where(F.col("place") <= k + 1).drop("place")
+    # Each id takes k of its point's k + 1, itself left out.
+    found = members.join(listed, "rep").where(F.col("id") != F.col("neighbour"))
+    rank = F.row_number().over(W.partitionBy("id").orderBy(*order))
+    return found.select("id", "neighbour", "cosine", rank.alias("rank")).where(F.col("rank") <= k)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from recordloom.functions.phonetic import LONGEST, RULES, SAME_SOUND
 from recordloom.functions.text import SALT_WORDS
+from recordloom.operators import knn
 from recordloom.operators.compare import FEATURES
 from recordloom.operators.explain import WORDING
 from recordloom.operators.quality import QUALITY
@@ -465,12 +466,57 @@ ORACLES["extract_mentions"] = (
     f"with {_MENTIONS}, agg as (select doc_id, count(*) as n, string_agg(name, '|' order by position, name) as mentions from hits group by doc_id)"
     " select d.doc_id, coalesce(a.n, 0)::int as n, coalesce(a.mentions, '') as mentions from documents d left join agg a on a.doc_id = d.doc_id"
 )
-ORACLES["knn_pairs"] = (
-    "with v as (select vec_id, embedding::double[] as e from embeddings), s as (select a.vec_id as id, b.vec_id as neighbour,"
-    " round(list_cosine_similarity(a.e, b.e), 6) as cosine from v a join v b on a.vec_id <> b.vec_id),"
-    " r as (select *, row_number() over (partition by id order by cosine desc, neighbour) as rank from s)"
-    " select id, neighbour, cosine, rank::int as rank from r where rank <= 10"
-)
+
+
+def _knn(k: int = 10, trees: int = 12, leaf: int = 256, rounds: int = 10, chunk: int = 1024, refinements: int = 3) -> str:
+    """The rule of the neighbour query, level by level. The planes are parameters of the rule."""
+    rows = ", ".join(
+        f"({t}, {j}, {normal.tolist()})" for t, normals in enumerate(knn.planes(64, trees, rounds, 42)) for j, normal in enumerate(normals)
+    )
+    ctes = [
+        "v as (select min(vec_id) as rep, e from (select vec_id, embedding::double[] as e from embeddings) group by e)",
+        f"u as (select rep, list_transform(e, lambda x: round(x / sqrt(list_sum(list_transform(e, lambda y: y * y))) * {knn.SCALE})) as w from v)",
+        f"planes as (select * from (values {rows}) t(tree, plane, normal))",
+        "proj as (select rep, tree, plane, list_dot_product(w, normal::double[])::bigint as p from u, planes)",
+        f"n0 as (select rep, tree, 0::bigint as node from v, (select unnest(range({trees})) as tree))",
+    ]
+    for r in range(rounds):
+        side = " + ".join(f"(n * p{i} > s{i})::int * {1 << i}" for i in range(knn.SPLIT))
+        joins = " ".join(
+            f"join proj a{i} on a{i}.rep = x.rep and a{i}.tree = x.tree and a{i}.plane = {r * knn.SPLIT + i}" for i in range(knn.SPLIT)
+        )
+        columns = ", ".join(f"a{i}.p as p{i}, sum(a{i}.p) over w as s{i}" for i in range(knn.SPLIT))
+        ctes.append(f"s{r} as (select x.*, count(*) over w as n, {columns} from n{r} x {joins} window w as (partition by x.tree, x.node))")
+        ctes.append(f"n{r + 1} as (select rep, tree, case when n > {leaf} then node * 9 + 1 + {side} else node end as node from s{r})")
+    top = f"row_number() over (partition by rep order by cosine desc, other) <= {2 * k}"
+
+    def met(groups: str, group: str) -> str:
+        return (
+            f"select rep, other, cosine from (select x.rep, y.rep as other, {group}, round(list_cosine_similarity(a.e, b.e), 6) as cosine"
+            f" from {groups} x join {groups} y using ({group}) join v a on a.rep = x.rep join v b on b.rep = y.rep where x.rep <> y.rep)"
+            f" qualify row_number() over (partition by {group}, rep order by cosine desc, other) <= {k}"
+        )
+
+    ctes.append(
+        f"leaves as (select rep, tree || '/' || node || '/' || ((row_number() over (partition by tree, node order by rep) - 1) // {chunk})"
+        f" as place from n{rounds})"
+    )
+    ctes.append(f"g0 as (select * from (select distinct * from ({met('leaves', 'place')})) qualify {top})")
+    for i in range(refinements):
+        ctes.append(f"c{i} as (select rep as centre, other as rep from g{i} union all select rep, rep from v)")
+        ctes.append(f"g{i + 1} as (select * from ({met(f'c{i}', 'centre')} union select * from g{i}) qualify {top})")
+    ctes.append("members as (select rep, vec_id as id from embeddings join v on v.e = embedding::double[])")
+    ctes.append(
+        f"found as (select m.id, o.id as neighbour, g.cosine from members m join g{refinements} g on g.rep = m.rep join members o on o.rep = g.other"
+        " union all select m.id, o.id, 1.0 from members m join members o on o.rep = m.rep and o.id <> m.id)"
+    )
+    return (
+        f"with {', '.join(ctes)} select id, neighbour, cosine, rank::int as rank from"
+        f" (select *, row_number() over (partition by id order by cosine desc, neighbour) as rank from found) where rank <= {k}"
+    )
+
+
+ORACLES["knn_pairs"] = _knn()
 _WORDS = r"regexp_extract_all(lower({0}), '([\p{{L}}\p{{N}}\p{{M}}_]+(?:[''’.][\p{{L}}\p{{N}}\p{{M}}_]+)*)', 1)"
 
 

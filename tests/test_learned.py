@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recordloom.operators import forest, gbt, knn, mentions, quality, search, weak
 from recordloom.operators.compare import FEATURES
 from recordloom.schema import as_entities
+from recordloom.scratch import written
 
 VOTES = weak.VOTES
 
@@ -108,24 +109,53 @@ def embeddings(spark, vectors):
     return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
 
 
-def test_knn_is_exact_within_two_blocks(spark):
+def recall(found, vectors, ids, k):
+    """Share of the true neighbours, for some of the vectors."""
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    got = found.where(F.col("id").isin([int(i) for i in ids])).toPandas().groupby("id")["neighbour"].apply(set)
+    sims = np.round(unit[ids] @ unit.T, 6)
+    sims[np.arange(len(ids)), ids] = -np.inf
+    every = np.arange(len(vectors))
+    return np.mean([len(got[i] & set(np.lexsort((every, -sims[j]))[:k].tolist())) / k for j, i in enumerate(ids)])
+
+
+def test_knn_lists_copies_first(spark):
     vectors = np.random.default_rng(2).normal(size=(150, 8))
     vectors[50:100] = vectors[7]
+    rows = knn.knn_pairs(embeddings(spark, vectors), k=5, trees=4, leaf=40, rounds=4).collect()
     got = {}
-    for r in knn.knn_pairs(embeddings(spark, vectors), k=5, block=80).collect():
-        got.setdefault(r["id"], []).append((-r["cosine"], r["neighbour"], r["rank"]))
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        got.setdefault(r["id"], []).append((-r["cosine"], r["neighbour"]))
     expected = brute(vectors, 5)
-    assert {i: [x[1] for x in sorted(v, key=lambda x: x[2])] for i, v in got.items()} == {i: [j for _, j in v] for i, v in expected.items()}
+    copies = [7, *range(50, 100)]
+    assert {i: got[i] for i in copies} == {i: expected[i] for i in copies}
+    assert all(len(v) == 5 for v in got.values()) and len(got) == 150
+
+
+def test_knn_leaves_out_what_has_no_direction(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 0.0]), (4, None), (5, [1.0, None]), (6, [float("nan"), 1.0]), (7, []), (None, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted((r["id"], r["neighbour"]) for r in knn.knn_pairs(df).collect()) == [(1, 2), (2, 1)]
+    assert knn.knn_pairs(df.where("false")).collect() == []
+
+
+def test_knn_does_not_depend_on_partitions(spark):
+    vectors = np.random.default_rng(3).normal(size=(400, 8))
+    df = embeddings(spark, vectors)
+    one, other = (sorted(map(tuple, knn.knn_pairs(d, k=3, trees=3, leaf=20, rounds=4, refinements=1).collect())) for d in (df, df.repartition(7)))
+    assert one == other
 
 
-def test_knn_over_many_blocks_finds_most(spark):
+def test_knn_recall_over_many_vectors(spark):
     rng = np.random.default_rng(4)
-    centres = rng.normal(size=(60, 16))
-    vectors = np.repeat(centres, 10, axis=0) + rng.normal(scale=0.05, size=(600, 16))
-    rows = knn.knn_pairs(embeddings(spark, vectors), k=9, block=32, orders=6, partition_rows=200).collect()
-    expected = brute(vectors, 9)
-    hits = sum(r["neighbour"] in {j for _, j in expected[r["id"]]} for r in rows)
-    assert len(rows) == 600 * 9 and hits / len(rows) > 0.95
+    centres = rng.normal(size=(400, 32))
+    spread = np.repeat(centres, 40, axis=0) + rng.normal(scale=0.2, size=(16_000, 32))
+    # Twenty clusters of 250 near copies, which planes through the origin do not part.
+    tight = np.repeat(rng.normal(size=(20, 32)), 250, axis=0) + rng.normal(scale=0.01, size=(5_000, 32))
+    vectors = np.vstack([spread, tight])
+    found = written(knn.knn_pairs(embeddings(spark, vectors).repartition(8)), "knn")
+    assert recall(found, vectors, rng.choice(16_000, 150, replace=False), 10) >= 0.9
+    assert recall(found, vectors, 16_000 + rng.choice(5_000, 150, replace=False), 10) >= 0.9
 
 
 def test_mentions(spark):

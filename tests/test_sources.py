@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from recordloom.schema import CONTRACT, as_entities
@@ -13,7 +14,7 @@ from recordloom.sources.tables import (
     read_lookup,
     read_registry_tsv,
 )
-from recordloom.sources.xml import read_entity_xml
+from recordloom.sources.xml import read_entity_xml, unparsed_records
 
 XML = """<registry>
   <drug type="small molecule">
@@ -173,3 +174,39 @@ def test_upsert(spark):
     timed = spark.createDataFrame([(2, "new", None, 9), (2, "old", "z", 4), (2, None, "y", 3)], "k int, p string, q string, at int")
     got = {r["k"]: (r["p"], r["q"]) for r in upsert_by_key(old, timed, "k", order_by="at").collect()}
     assert got == {1: ("a", "x"), 2: ("new", "z")}
+
+
+def dump_of(n):
+    """Records of several lines, every fifth with records inside, and one that is not well formed."""
+    parts = ['<?xml version="1.0" encoding="UTF-8"?>\n<drugs xmlns="urn:x">']
+    for i in range(n):
+        inner = "<others>\n" + "".join(f'<drug kind="x"><name>inner {i}.{j}</name></drug>' for j in range(i % 3 + 1)) + "<drug/></others>" if i % 5 == 0 else ""
+        parts.append(
+            f'<drug type="small">\n  <drugbank-id>old{i}</drugbank-id><drugbank-id primary="true">DB{i:05d}</drugbank-id>\n'
+            f"  {inner}<name>Name {i} é &amp; more</name>\n  <description>{'text ' * (i % 40)}</description>\n</drug>"
+        )
+    parts.append("<drug><name>broken</nam></drug>")
+    return "\n".join(parts) + "\n</drugs>\n"
+
+
+@pytest.mark.parametrize("split", [700, 5_000, 10_000_000])
+def test_one_xml_file_is_read_in_parts(spark, tmp_path, split):
+    (tmp_path / "a.xml").write_text(dump_of(200), encoding="utf-8")
+    (tmp_path / "b.xml").write_text('<drugs><drug><drugbank-id primary="true">DB9</drugbank-id></drug></drugs>')
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        rows = {r["drugbank_id"]: r["name"] for r in read_entity_xml(spark, str(tmp_path / "*.xml")).collect()}
+        assert rows == {**{f"DB{i:05d}": f"Name {i} é & more" for i in range(200)}, "DB9": ""}
+        assert unparsed_records(spark, str(tmp_path)) == 1
+        parts = spark.read.option("lineSep", "</drug>").text(str(tmp_path / "a.xml")).rdd.getNumPartitions()
+        assert parts > 1 or split == 10_000_000
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_xml_without_records(spark, tmp_path):
+    (tmp_path / "none.xml").write_text("<drugs></drugs>")
+    assert read_entity_xml(spark, str(tmp_path)).collect() == []

@@ -2,52 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.functions.text import normalize_name
-from recordloom.partitioning import by_work
+from recordloom.scratch import written
 
 
-def _tokens(normalized: Column) -> Column:
-    return F.filter(F.split(normalized, " "), lambda t: t != "")
+def word_tree(names: list[str]) -> dict:
+    """Names, as words between single spaces, by their first word, then by their second, and so on; under None stands
+    the name that ends there."""
+    root: dict = {}
+    for name in names:
+        node = root
+        for word in name.split(" "):
+            node = node.setdefault(word, {})
+        node[None] = name
+    return root
 
 
-def mention_rows(texts: DataFrame, names: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, position, name): every place where the words of a known name occur in a text.
+def places(tree: dict, text: str) -> Iterator[tuple[int, str]]:
+    """(position of the first word from 1, name) of every place of a name in a text."""
+    words = text.split(" ")
+    for i, word in enumerate(words):
+        node, j = tree.get(word), i + 1
+        while node is not None:
+            if (name := node.get(None)) is not None:
+                yield i + 1, name
+            if j == len(words):
+                break
+            node, j = node.get(words[j]), j + 1
+
 
-    `texts` has (id, text), `names` has (name). A name is found by its longest pair of adjacent words
-    (its word, if it has only one): a text yields one short hash per word and per word pair. Places
-    where the hash meets a name are then checked word by word against the text. Spark broadcasts the
-    names if their measured size allows, otherwise both sides are shuffled on the hash.
+def mention_rows(texts: DataFrame, names: DataFrame, id_col: str = "doc_id", block_bytes: int = 16 << 20) -> DataFrame:
+    """(id, position, name): every place where the words of a known name occur in a text.
 
-    Normalised texts are partitioned by id once; finding and checking both read that exchange.
+    `texts` has (id, text), `names` has (name). Texts stay where they are: each task walks the tree of names from
+    every word, and most words end the walk at once. The names are broadcast in blocks of about `block_bytes` of
+    text, one pass for each; a block does not depend on how often a first word is shared. Null and empty texts have no
+    mentions, and names without words are left out. Rows that share an id are searched one by one.
     """
     plain = texts.select(id_col, normalize_name(F.col("text")).alias("norm"))
-    placed = by_work(plain, id_col)
-    worded = placed.select(id_col, _tokens(F.col("norm")).alias("tokens"))
-    known = names.select(_tokens(normalize_name(F.col("name"))).alias("tokens")).where(F.size("tokens") > 0).distinct()
-
-    def pairs(df: DataFrame, *keep: str) -> DataFrame:
-        """(keep, at, first, second) of every word and its successor; NULL after the last word."""
-        two = F.arrays_zip(F.col("tokens").alias("first"), F.slice("tokens", 2, F.size("tokens")).alias("second"))
-        return df.select(*keep, F.posexplode(two).alias("at", "two")).select(*keep, "at", "two.first", "two.second")
-
-    one_hash, pair_hash = F.xxhash64(F.lit(1), "first"), F.xxhash64(F.lit(2), "first", "second")
-    width = F.when(F.col("second").isNull(), -1).otherwise(F.length("first") + F.length("second"))
-    anchor = F.max_by(F.struct("at", one_hash.alias("h1"), pair_hash.alias("h2")), F.struct(width, -F.col("at")))
-    anchored = pairs(known, "tokens").groupBy("tokens").agg(anchor.alias("g")).select(
-        F.col("tokens").alias("words"),
-        F.col("g.at").alias("offset"),
-        F.when(F.size("tokens") == 1, F.col("g.h1")).otherwise(F.col("g.h2")).alias("h"),
-    )
-    hashes = F.array_compact(F.array(one_hash, F.when(F.col("second").isNotNull(), pair_hash)))
-    spots = pairs(worded, id_col).select(id_col, "at", F.explode(hashes).alias("h"))
-    near = spots.join(anchored, "h")
-    places = near.select(id_col, (F.col("at") - F.col("offset") + 1).alias("position"), "words").where(F.col("position") >= 1)
-    # Null-safe, or the filter the optimiser derives from it would keep the exchange from being shared.
-    same = (places[id_col] == worded[id_col]) & F.slice("tokens", F.col("position"), F.size("words")).eqNullSafe(F.col("words"))
-    return places.join(worded, same).select(places[id_col], "position", F.array_join("words", " ").alias("name"))
+    known = written(names.select(normalize_name(F.col("name")).alias("name")).where(F.col("name") != "").distinct(), "known-names")
+    size = known.agg(F.sum(F.octet_length("name"))).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    if blocks > 1:
+        plain = written(plain, "normalised-texts")
+    schema = T.StructType([texts.schema[id_col], T.StructField("position", T.IntegerType()), T.StructField("name", T.StringType())])
+    found = None
+    for k in range(blocks):
+        # At most about block_bytes of names.
+        block = known.where(F.pmod(F.xxhash64("name"), F.lit(blocks)) == k).toArrow()["name"].to_pylist()
+        sent = texts.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            tree = word_tree(sent.value)
+            for batch in batches:
+                rows, positions, hits = [], [], []
+                for row, text in enumerate(batch.column(1).to_pylist()):
+                    for position, name in places(tree, text):
+                        rows.append(row)
+                        positions.append(position)
+                        hits.append(name)
+                ids = batch.column(0).take(pa.array(rows, type=pa.int64()))
+                columns = [ids, pa.array(positions, type=pa.int32()), pa.array(hits, type=pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=[id_col, "position", "name"])
+
+        part = plain.mapInArrow(run, schema)
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def extract_mentions(texts: DataFrame, names: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def by_work(df: DataFrame, *keys: str) -> DataFrame:
-    """Partition by `keys` into the session's full number of shuffle partitions. For steps that make
-    much of few bytes, which adaptive coalescing would leave to a handful of tasks."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows evenly into the session's full number of shuffle partitions, before a step that does much work on
     each. Joins before it keep their adaptive sizes and skew handling."""

@@ -165,6 +165,24 @@ def test_mentions(spark):
     assert got == {1: ["cafe", "cafe citrate", "cafe", "cafe citrate", "a b a", "a b a"], 2: [], 3: []}
 
 
+@pytest.mark.parametrize("block_bytes", [20, 1 << 20])
+def test_mentions_in_blocks_of_names(spark, block_bytes):
+    rng = random.Random(6)
+    words = ["hot", "a", "b", "é", "c"]
+    names = sorted({" ".join(["hot", *rng.choices(words, k=rng.randint(0, 3))]) for _ in range(40)} | {"b", "a b"})
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 40))) for _ in range(30)] + ["hot " * 20_000, None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = mentions.mention_rows(rows, spark.createDataFrame([(n,) for n in [*names, names[0]]], "name string"), block_bytes=block_bytes)
+    expected = []
+    for i, text in enumerate(texts):
+        w = (text or "").replace("é", "e").split()
+        for name in {n.replace("é", "e") for n in names}:
+            n = name.split()
+            expected += [(i, p + 1, name) for p in range(len(w) - len(n) + 1) if w[p] == n[0] and w[p : p + len(n)] == n]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_search(spark):
     rows = [("1", "Fluoxetine Hydrochloride"), ("2", "Fluoxetine"), ("3", "Fluorouracil"), ("4", "Aspirin"), ("5", "Aspirin"), ("6", None)]
     df = spark.createDataFrame(rows, "id string, name string")

@@ -214,12 +214,13 @@ def _branches(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return counted.select("lang", "w1", "w2", "a", "l", "r", _score("a", "l", "r").alias("score"), bound.alias("bound"))
 
 
-def _levels(pairs: DataFrame, depth: int) -> DataFrame:
-    """(lang, level): the score of each language's pair number `depth`; 0, which every branch reaches, if it has fewer."""
-    best = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score")))
-    ranked = pairs.select("lang", "score", best.alias("place")).where(F.col("place") <= depth)
-    level = F.when(F.count("*") == depth, F.min("score")).otherwise(F.lit(0))
-    return ranked.groupBy("lang").agg(level.cast("long").alias("level"))
+def _levels(phrases: DataFrame, depth: int) -> DataFrame:
+    """(lang, level): the score of each language's phrase number `depth`; 0, which every branch reaches, if it has fewer.
+    A language has at most 1,000,001 scores, however many phrases."""
+    scores = phrases.groupBy("lang", "score").agg(F.count("*").alias("c"))
+    down_to = F.sum("c").over(W.partitionBy("lang").orderBy(F.desc("score")))
+    reached = scores.withColumn("down_to", down_to).where(F.col("down_to") >= depth).groupBy("lang").agg(F.max("score").alias("level"))
+    return scores.select("lang").distinct().join(reached, "lang", "left").select("lang", F.coalesce("level", F.lit(0).cast("long")).alias("level"))
 
 
 def _survivors(pairs: DataFrame, wanted: DataFrame, triples: DataFrame, levels: DataFrame, share: int) -> DataFrame:
@@ -279,5 +280,7 @@ def collocations(documents: DataFrame, limit: int = 2000, least: int = 10, share
     for more in settled[1:]:
         every = every.unionByName(more)
     place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")).cast("long")
+    # Only phrases down to the last place's score are sorted.
+    every = every.drop("level").join(_levels(every, limit), "lang").where("score >= level")
     best = every.withColumn("rank", place).where(F.col("rank") <= limit)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

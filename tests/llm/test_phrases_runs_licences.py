@@ -100,7 +100,7 @@ def test_frontier_grows_until_enough_survive(spark, monkeypatch):
     monkeypatch.setattr(collocations, "_levels", lambda pairs, depth: depths.append(depth) or levels(pairs, depth))
     got = collocation_rows(collocations.collocations(rows_of(spark, texts, ["en"] * len(texts)), 10, 6, 50))
     assert got == brute_collocations(texts, ["en"] * len(texts), 10, 6, 50)
-    assert depths == [20, 160] and len(got) == 10
+    assert depths == [20, 160, 10] and len(got) == 10
 
 
 def test_crowded_bitmaps_only_add_work(spark):

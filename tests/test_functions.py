@@ -21,16 +21,16 @@ def pair(spark, a, b, f):
 @pytest.mark.parametrize(
     "f, value, expected",
     [
-        (text.normalize_name, "Acetylsalicylic-Acid (ASA)", "acetylsalicylic acid asa"),
-        (text.normalize_name, "Café Citrate", "cafe citrate"),
+        (text.normalize_name, "Tetraphenyl-Borate (TPB)", "tetraphenyl borate tpb"),
+        (text.normalize_name, "Thé Maleate", "the maleate"),
         (text.normalize_name, "ﬁx  İt\t", "fix it"),
         (text.normalize_name, None, ""),
-        (text.strip_salts, "Fluoxetine Hydrochloride", "fluoxetine"),
-        (text.strip_salts, "Diclofenac Sodium", "diclofenac"),
+        (text.strip_salts, "Brovanil Hydrochloride", "brovanil"),
+        (text.strip_salts, "Quentolac Sodium", "quentolac"),
         (text.strip_salts, "Sodium Citrate Dibasic", "dibasic"),
         (text.strip_salts, "Sodium Chloride", "sodium chloride"),
         (text.strip_salts, "", ""),
-        (text.blocking_key, "Fluoxetine Hydrochloride", "fluoxe"),
+        (text.blocking_key, "Brovanil Hydrochloride", "brovan"),
         (text.blocking_key, "A B", "ab"),
         (text.inchikey_skeleton, "BSYNRYMUTXBXSQ-UHFFFAOYSA-N", "BSYNRYMUTXBXSQ"),
         (text.inchikey_skeleton, "tooshort", None),
@@ -96,7 +96,7 @@ def test_jaro_slices_and_nulls(monkeypatch):
 
 @pytest.mark.parametrize(
     "a, b, expected",
-    [("paracetamol", "paracetamol", 1.0), ("fluoxetine", "fluoxetin", 0.98), ("martha", "marhta", 0.961111), ("a", "a", 0.0)],
+    [("paracetamol", "paracetamol", 1.0), ("brovanil", "fluoxetin", 0.98), ("martha", "marhta", 0.961111), ("a", "a", 0.0)],
 )
 def test_jaro_winkler(spark, a, b, expected):
     df = spark.createDataFrame([(a, b)], "a string, b string")

@@ -96,7 +96,7 @@ def test_jaro_slices_and_nulls(monkeypatch):
 
 @pytest.mark.parametrize(
     "a, b, expected",
-    [("paracetamol", "paracetamol", 1.0), ("brovanil", "fluoxetin", 0.98), ("martha", "marhta", 0.961111), ("a", "a", 0.0)],
+    [("paracetamol", "paracetamol", 1.0), ("brovanilin", "brovanili", 0.98), ("martha", "marhta", 0.961111), ("a", "a", 0.0)],
 )
 def test_jaro_winkler(spark, a, b, expected):
     df = spark.createDataFrame([(a, b)], "a string, b string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 UNCHANGED = np.arange(256, dtype=np.uint8)
 
+#: Words of more bytes are hashed whole.
+_LONG = 256
 _RADIX = 0x9E3779B97F4A7C15 | 1
 
 
@@ -133,6 +136,10 @@ def runs(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray, single: int
         none = np.zeros(0, dtype=np.int64)
         return Words(data, none, none, none.astype(np.uint64), np.zeros(len(offsets), dtype=np.int64))
     starts, ends, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
+    # Some pairs of long words have equal sums for every odd radix.
+    for i in np.flatnonzero(ends - starts > _LONG):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
     return Words(data, starts, ends, mix(hashes), np.searchsorted(starts, offsets).astype(np.int64))
 
 

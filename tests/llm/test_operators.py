@@ -382,3 +382,19 @@ def test_pipeline_keeps_and_drops(spark):
     assert counts == sorted(counts, reverse=True) and counts[3] == counts[4] > 100
     assert not docs.where(F.col("text").rlike(r"password=(?:0198f9bf)")).count()
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).select("doc_id").distinct().count() == counts[-1]
+
+
+def test_long_words_with_equal_sums_stay_apart(spark):
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    docs = spark.createDataFrame([(1, a), (2, b), (3, a)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+    item = spark.createDataFrame([(7, a)], "item_id long, text string")
+    kept = decontaminate.clean(docs, item)
+    assert [r.doc_id for r in kept.collect()] == [2]
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    for r in packing.digests(packing.pack(docs, TOKENIZER)).collect():
+        ids = [*tokenizer.encode(b if r.doc_id == 2 else a, add_special_tokens=False).ids, 2]
+        assert zlib.crc32(np.array(ids[r.start : r.start + r.length], dtype="<u4").tobytes()) == r.ids_crc32

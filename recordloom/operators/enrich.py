@@ -165,6 +165,15 @@ def corroborate(base: DataFrame, evidence: DataFrame) -> DataFrame:
     return out.select("drugbank_id", "chembl_id", found.alias("evidence_chembl_id"), status.alias("status"))
 
 
+def with_conflicts(base: DataFrame, evidence: DataFrame) -> DataFrame:
+    """Add a reason to each record whose ChEMBL id the evidence contradicts; ids and other rows stay as they are."""
+    key = ["drugbank_id", "chembl_id"]
+    conflicts = corroborate(base, evidence).where(F.col("status") == "conflict")
+    seen = conflicts.groupBy(*key).agg(F.min("evidence_chembl_id").alias("_seen"))
+    reason = F.concat(F.lit("chembl_id "), "chembl_id", F.lit(" contradicted by "), "_seen")
+    return with_reason(base.join(seen, key, "left"), reason).select(*base.columns)
+
+
 def fullest(columns: Iterable[str]) -> Column:
     """Aggregate: of rows the one with the most values present, the smallest of equally full ones."""
     columns = list(columns)

@@ -248,6 +248,12 @@ ORACLES["xml_records"] = (
     " stitch_id as description from registry"
 )
 ORACLES["lookup_roundtrip"] = _PLAIN + _derived(fx.CHEMBL_LOOKUP)
+ORACLES["lookup_refresh"] = (
+    f"with {_REG}, a as ({_derived(fx.CHEMBL_LOOKUP)}), b as ({_derived(fx.PUBCHEM_LOOKUP)})"
+    " select drugbank_id as id, case when inchi_key is null then a.value else b.value end as value"
+    " from registry r left join a on a.id = r.drugbank_id left join b on b.id = r.drugbank_id"
+    " where inchi_key is null or chembl_id is null"
+)
 ORACLES["decode_payloads"] = (
     _PLAIN + "select drugbank_id as id, 'unichem' as kind, chembl_id as value from registry"
     " union all select drugbank_id, 'pubchem', doc_id::varchar from registry"
@@ -313,6 +319,10 @@ ORACLES["corroborate"] = (
     " select drugbank_id, chembl_id, case when hit then chembl_id else seen end as evidence_chembl_id,"
     " case when seen is null then 'unverified' when chembl_id is null then 'missing' when hit then 'agree' else 'conflict' end as status from j"
 )
+ORACLES["conflict_reasons"] = (
+    "select drugbank_id, case when status = 'conflict' then 'chembl_id ' || chembl_id || ' contradicted by ' || evidence_chembl_id else '' end as reasons"
+    f" from ({ORACLES['corroborate']})"
+)
 _BUILD = (
     f"{_REG}, {_NORM}, {_keyed('ttd', fx.TTD)}, {_first('ttd', ['ttd_id', 'cas_num', 'pubchem_cid'])},"
     f" {_keyed('kegg', fx.KEGG)}, {_first('kegg', ['kegg_id', 'chebi_id', 'cas_num', 'pubchem_cid'])},"
@@ -559,6 +569,7 @@ _TEXTS = (
     "texts as (select distinct trim(p) as t from (select unnest(regexp_split_to_array(text, '[.,\\n]')) as p from benchmark) where trim(p) <> '')"
 )
 ORACLES["name_index"] = f"with {_REG}, {_CODES}, {_POSTINGS} select view, token, name, n, length::int as length, tf from postings"
+ORACLES["index_upkeep"] = ORACLES["name_index"]
 _ASCII = "translate({0}, 'àâäáãçèéêëìíîïñòóôöõùúûüýßæøœ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ!#$')"
 _FUZZY = (
     "terms as (select distinct token as term from postings where view = 'words'), "

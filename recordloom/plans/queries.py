@@ -15,6 +15,7 @@ from recordloom.operators import (
     explain,
     forest,
     gbt,
+    index_store,
     knn,
     mentions,
     quality,
@@ -28,6 +29,7 @@ from recordloom.plans.passes import DEFAULT_ORDER, run_passes, standard_passes
 from recordloom.schema import empty_entities, filled_id_count, source_column
 from recordloom.scratch import new_path, written
 from recordloom.sinks import registry as registry_sink
+from recordloom.sinks import snapshots
 from recordloom.sinks import tables as table_sink
 from recordloom.sources import blocks, payloads, tables, xml
 
@@ -264,6 +266,17 @@ def lookup_roundtrip(spark, sf_dir):
     return tables.read_lookup(spark, path)
 
 
+@query
+def lookup_refresh(spark, sf_dir):
+    """Two rounds of answers: the second asks only what the first has not asked."""
+    path = new_path(spark, "lookup")
+    reg = fx.registry(spark, sf_dir)
+    asked = reg.where(F.col("inchi_key").isNull()).select(F.col("drugbank_id").alias("id"))
+    first = snapshots.extend_lookup(spark, path, fx.derived(reg, fx.CHEMBL_LOOKUP).join(asked, "id", "left_semi"), asked)
+    missing = enrich.missing_keys(fx.bare(reg), "chembl_id", first).select(F.col("drugbank_id").alias("id"))
+    return snapshots.extend_lookup(spark, path, fx.derived(reg, fx.PUBCHEM_LOOKUP).join(missing, "id", "left_semi"), missing)
+
+
 @query
 def decode_payloads(spark, sf_dir):
     def body(kind: str, json, status):
@@ -338,6 +351,13 @@ def corroborate(spark, sf_dir):
     return enrich.corroborate(fx.bare(reg), fx.derived(reg, fx.EVIDENCE))
 
 
+@query
+def conflict_reasons(spark, sf_dir):
+    reg = fx.registry(spark, sf_dir)
+    checked = enrich.with_conflicts(enrich.with_audit_columns(fx.bare(reg)), fx.derived(reg, fx.EVIDENCE))
+    return checked.select("drugbank_id", F.array_join("reasons", "; ").alias("reasons"))
+
+
 def _sources(reg: DataFrame) -> dict[str, DataFrame]:
     return {
         "base": fx.bare(reg),
@@ -575,6 +595,20 @@ def name_index(spark, sf_dir):
     return _index(spark, sf_dir)
 
 
+@query
+def index_upkeep(spark, sf_dir):
+    """The postings after a first load, a change of all names that differ and the removal of foreign ids, and a merge."""
+    path = new_path(spark, "name-index")
+    records = fx.registry(spark, sf_dir).select(F.col("drugbank_id").alias("id"), "name")
+    old = records.select("id", F.lower("name").alias("name"))
+    foreign = records.select(F.concat(F.lit("T"), "id").alias("id"), F.concat("name", F.lit(" forte")).alias("name"))
+    index_store.upsert_names(spark, path, old.unionByName(foreign))
+    changed = records.where(F.col("name") != F.lower("name"))
+    index_store.upsert_names(spark, path, changed.unionByName(foreign.select("id", F.lit(None).cast("string").alias("name"))))
+    index_store.merge_segments(spark, path)
+    return index_store.read_name_index(spark, path)
+
+
 @query
 def fuzzy_terms(spark, sf_dir):
     """Words of product names and the index words within their allowed edits."""

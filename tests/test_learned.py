@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from recordloom.operators import forest, gbt, knn, mentions, quality, search, weak
+from recordloom.operators import forest, gbt, index_store, knn, mentions, quality, search, weak
 from recordloom.operators.compare import FEATURES
 from recordloom.schema import as_entities
 from recordloom.scratch import written
@@ -255,3 +255,29 @@ def test_hot_lists_are_cut(spark):
     blocks = search.impact_blocks(index, shards=4, size=100).where("view = 'words' and token = 'drug'")
     sizes = [len(r["postings"]) for r in blocks.collect()]
     assert sum(sizes) == 4000 and max(sizes) <= 100 and blocks.select("shard").distinct().count() == 4
+
+
+def test_index_follows_changes(spark, tmp_path):
+    path = str(tmp_path / "names")
+    rows = lambda df: sorted(tuple(r[c] for c in ("view", "token", "name", "n", "length", "tf")) for r in df.collect())
+    frame = lambda pairs: spark.createDataFrame(pairs, "id string, name string")
+    assert rows(index_store.read_name_index(spark, path)) == []
+    state = {}
+    steps = [
+        [("1", "Velorin"), ("2", "Velorin acid"), ("3", "Tamoxel"), ("4", None)],
+        [("2", "Velorin"), ("3", None), ("5", "Quillax oxide"), (None, "nobody")],
+        [("1", "Tamoxel"), ("2", "Brenta"), ("5", "Quillax"), ("6", "Velorin acid")],
+    ]
+    for step in steps:
+        state = {k: v for k, v in {**state, **dict(step)}.items() if k and v}
+        index_store.upsert_names(spark, path, frame(step))
+        rebuilt = search.build_name_index(search.distinct_names(frame(list(state.items())), "id", "name"))
+        assert rows(index_store.read_name_index(spark, path)) == rows(rebuilt)
+        assert {(r.id, r.name) for r in index_store.indexed_records(spark, path).collect()} == set(state.items())
+    before = rows(index_store.read_name_index(spark, path))
+    merged = index_store.merge_segments(spark, path)
+    assert rows(index_store.read_name_index(spark, path)) == before
+    assert rows(index_store.read_name_index(spark, path, merged - 1)) == before
+    hits = search.search_names(index_store.read_name_index(spark, path), spark.createDataFrame([("q", "tamoxe")], "query_id string, text string"))
+    found = index_store.hit_records(hits, index_store.indexed_records(spark, path)).collect()
+    assert [(r.query_id, r.rank, r.id, r.name) for r in found] == [("q", 1, "1", "Tamoxel")]

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from recordloom.schema import CONTRACT, as_entities
 from recordloom.sinks.registry import registry_row, write_registry_sharded, write_registry_tsv
+from recordloom.sinks.snapshots import ConcurrentCommit, extend_lookup, latest_version, read_snapshot, write_snapshot
 from recordloom.sinks.tables import upsert_by_key, write_lookup
 from recordloom.sources.blocks import read_kv_blocks, read_tagged_blocks
 from recordloom.sources.payloads import decode_payloads
@@ -210,3 +211,26 @@ def test_one_xml_file_is_read_in_parts(spark, tmp_path, split):
 def test_xml_without_records(spark, tmp_path):
     (tmp_path / "none.xml").write_text("<drugs></drugs>")
     assert read_entity_xml(spark, str(tmp_path)).collect() == []
+
+
+def test_lookup_rounds_and_snapshots(spark, tmp_path):
+    path = str(tmp_path / "rounds")
+    assert read_snapshot(spark, path) is None and latest_version(spark, path) == 0
+    pairs = lambda df: sorted((r.id, r.value) for r in df.collect())
+    answers = lookup_from_rows(spark, [("a", "2"), ("a", "1"), ("c", "9")])
+    asked = spark.createDataFrame([("a",), ("b",), (None,)], "id string")
+    assert pairs(extend_lookup(spark, path, answers, asked)) == [("a", "1"), ("b", None), ("c", "9")]
+    # The table is read and rewritten; an answer replaces none or an older one, no answer replaces nothing.
+    again = spark.createDataFrame([("a",), ("c",)], "id string")
+    later = extend_lookup(spark, path, lookup_from_rows(spark, [("b", "7"), ("c", "8")]), again)
+    assert pairs(later) == [("a", "1"), ("b", "7"), ("c", "8")]
+    assert pairs(read_snapshot(spark, path, 1)) == [("a", "1"), ("b", None), ("c", "9")]
+    # Whoever started from an older version does not commit, and a failed write leaves the last snapshot.
+    with pytest.raises(ConcurrentCommit):
+        write_snapshot(answers, path, base=1)
+    with pytest.raises(Exception):
+        extend_lookup(spark, path, answers.select("id", F.raise_error(F.lit("no")).cast("string").alias("value")))
+    # A writer that died while naming its folder.
+    (tmp_path / "rounds" / "versions" / "0000000003").write_text("half")
+    assert latest_version(spark, path) == 2 and pairs(read_snapshot(spark, path)) == pairs(later)
+    assert pairs(extend_lookup(spark, path, lookup_from_rows(spark, []))) == pairs(later) and latest_version(spark, path) == 4

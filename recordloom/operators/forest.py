@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from recordloom.scratch import written
 
 EULER = 0.5772156649015329
-_BINS = 1_000_000
+#: Largest error of the flagged share, where scores do not tie.
+ERROR = 1e-4
 
 
 def mean_path(n: float) -> float:
@@ -121,15 +122,12 @@ def score_forest(rows: DataFrame, forest: pd.DataFrame, columns: list[str]) -> D
     return rows.mapInPandas(score, schema)
 
 
-def score_threshold(scored: DataFrame, contamination: float) -> float:
-    """Score from which the given share of rows counts as anomalous, to a millionth. Scores are first
-    counted in a million bins, so the table that gets ordered has a fixed largest size."""
-    bins = scored.groupBy(F.floor(F.col("outlier_score") * _BINS).alias("bin")).agg(F.count("*").alias("n"))
-    counted = bins.orderBy("bin").toPandas()
-    if counted.empty:
-        return 1.0
-    wanted = math.ceil((1.0 - contamination) * counted["n"].sum())
-    return float(counted["bin"][np.searchsorted(counted["n"].cumsum(), wanted)]) / _BINS
+def score_threshold(scored: DataFrame, contamination: float, error: float = ERROR) -> float:
+    """Score from which the given share of rows counts as anomalous. It is a score of some row whose rank is off by at
+    most `error` times the rows, from quantile summaries that tasks make and merge; their size depends on `error`."""
+    share = F.percentile_approx("outlier_score", 1.0 - contamination, int(round(1.0 / error)))
+    found = scored.agg(share.alias("t")).first()["t"]
+    return 1.0 if found is None else float(found)
 
 
 def isolation_forest(
@@ -152,3 +150,33 @@ def isolation_forest(
 def top_anomalies(scored: DataFrame, key: str, k: int = 25) -> DataFrame:
     """The `k` rows with the highest outlier score, ties by id."""
     return scored.orderBy(F.desc("outlier_score"), key).limit(k)
+
+
+def checks(rows: DataFrame, scored: DataFrame, key: str, columns: list[str], contamination: float = 0.02, error: float = ERROR) -> DataFrame:
+    """(check, holds): what must hold of `scored`, the result of `isolation_forest` over `rows`, whatever the trees.
+
+    Rows with the lowest flagged score may tie, so the flagged share is bounded from above without them.
+    """
+    flagged, score = F.col("anomaly_flag") == 1, F.col("outlier_score")
+    # One row.
+    total = scored.agg(
+        F.count("*").alias("n"), F.count_distinct(key).alias("ids"), F.count_if(flagged).alias("flagged"),
+        F.min(F.when(flagged, score)).alias("low"), F.max(F.when(~flagged, score)).alias("high"),
+        F.bool_and((score > 0) & (score <= 1)).alias("inside"),
+    )
+    above = scored.join(F.broadcast(total.select("low")), score > F.col("low")).agg(F.count("*").alias("above"))
+    alike = rows.join(scored, key).groupBy(*columns).agg((F.min("outlier_score") == F.max("outlier_score")).alias("same"))
+    alike = alike.agg(F.bool_and("same").alias("same"))
+    given = rows.agg(F.count("*").alias("given"))
+    one = total.crossJoin(above).crossJoin(alike).crossJoin(given)
+    slack = F.col("n") * error + 1
+    held = {
+        "each row scored once": (F.col("n") == F.col("given")) & (F.col("ids") == F.col("given")),
+        "scores in range": F.col("inside"),
+        "equal rows, equal scores": F.col("same"),
+        "flags follow scores": F.col("high").isNull() | (F.col("high") < F.col("low")),
+        "share flagged, at least": F.col("flagged") >= F.col("n") * contamination - slack,
+        "share flagged, at most": F.col("above") <= F.col("n") * contamination + slack,
+    }
+    listed = F.array(*[F.struct(F.lit(name).alias("check"), F.coalesce(c, F.lit(False)).alias("holds")) for name, c in held.items()])
+    return one.select(F.inline(listed))

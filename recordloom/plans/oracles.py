@@ -597,3 +597,8 @@ ORACLES["search_names"] = (
     " select * from (select query_id, name, n, score, row_number() over (partition by query_id order by score desc, name)::int as rank from scores)"
     " where rank <= 10"
 )
+# Invariants: the rule says what must hold, the query finds out whether it does.
+ORACLES["anomaly_checks"] = (
+    "select unnest(['each row scored once', 'scores in range', 'equal rows, equal scores', 'flags follow scores',"
+    " 'share flagged, at least', 'share flagged, at most', 'planted rows flagged']) as \"check\", true as holds"
+)

@@ -555,6 +555,19 @@ def isolation_forest(spark, sf_dir):
     return _scores(spark, sf_dir)
 
 
+@query
+def anomaly_checks(spark, sf_dir):
+    """What must hold of scores and flags, and that rows with every signal beyond all others are flagged."""
+    rows = quality.quality_features(fx.entities(fx.registry(spark, sf_dir)))
+    beyond = rows.agg(*[(10 * F.max(c) + 10).alias(c) for c in quality.QUALITY])
+    planted = beyond.select(F.explode(F.array(*[F.lit(f"planted{i}") for i in range(5)])).alias("drugbank_id"), *quality.QUALITY)
+    rows = written(rows.unionByName(planted), "quality")
+    scored = written(forest.isolation_forest(rows, "drugbank_id", quality.QUALITY), "flags")
+    found = scored.where(F.col("drugbank_id").startswith("planted")).agg(F.bool_and(F.col("anomaly_flag") == 1).alias("holds"))
+    known = forest.checks(rows, scored, "drugbank_id", quality.QUALITY)
+    return known.unionByName(found.select(F.lit("planted rows flagged").alias("check"), "holds"))
+
+
 @query
 def top_anomalies(spark, sf_dir):
     return forest.top_anomalies(_scores(spark, sf_dir), "drugbank_id")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recordloom.operators import blocking
 from recordloom.operators.compare import feature_vector, pair_features
+from recordloom.operators.entities import _edges, entities
 from recordloom.operators.explain import explain
 from recordloom.operators.resolve import feature_frame, resolve, top_links, unfold_links
 from recordloom.operators.scoring import FIELD_ORDER, LinkModel, decision, fs_score
@@ -248,3 +249,35 @@ def test_repeated_ids_are_reduced(spark):
     profs = blocking.profiles(records(spark, rows)).collect()
     assert sum(r["n"] for r in profs) == 2
     assert [(r["id_a"], r["id_b"]) for r in top_links(records(spark, rows), k=5).collect()] == [("DB1", "DB2")]
+
+
+def classes_of(links, ids):
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    return {i: find(i) for i in ids}
+
+
+@pytest.mark.parametrize("model", [LinkModel(), LinkModel(prior=0.02), LinkModel(prior=0.3)], ids=["default", "likely", "names alone"])
+def test_entities_are_the_classes_of_all_links(spark, model):
+    recs = written(records(spark, skewed()), "skewed")
+    profs = written(blocking.profiles(recs), "profiles")
+    links = unfold_links(resolve(recs, model), blocking.profile_members(recs, profs))
+    want = classes_of([(r.id_a, r.id_b) for r in links.collect()], [r.drugbank_id for r in recs.collect()])
+    got = [(r.id, r.entity_id) for r in entities(recs, model).collect()]
+    assert len(got) == len(want) and dict(got) == want
+
+
+def test_a_group_of_one_structure_gives_edges_in_proportion(spark):
+    rows = [(f"DB{i:05d}", f"name {i * 7919 % 10007} of {i}", "1", None, "C1", "AAAAAAAAAAAAAA-X") for i in range(3000)]
+    profs = written(blocking.profiles(records(spark, rows)), "profiles")
+    assert _edges(profs, LinkModel(), 0.45).where("id_a = 'DB00000'").count() == 2999
+    found = entities(records(spark, rows)).groupBy("entity_id").count().collect()
+    assert [(r["entity_id"], r["count"]) for r in found] == [("DB00000", 3000)]

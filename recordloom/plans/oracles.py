@@ -404,6 +404,14 @@ _ROUND = "round(posterior, 6) as posterior, round(total_bits, 6) as total_bits"
 ORACLES["fs_score"] = _LINK + f"select id_a, id_b, {_ROUND}, decision from scored"
 _CONTRIB = " || ',' || ".join(f"'{f}=' || ({_agrees(f)})::int" for f in FIELD_ORDER)
 ORACLES["resolve_links"] = _LINK + f"select id_a, id_b, n_pairs, {_ROUND}, decision, {_CONTRIB} as contributions from links"
+ORACLES["entity_groups"] = (
+    _LINK.replace("with ", "with recursive ", 1)
+    + ", members as (select min(drugbank_id) over (partition by nn, cas_num, pubchem_cid, chembl_id, skeleton) as profile, drugbank_id as id from keyed),"
+    " e as (select id_a as a, id_b as b from links union select id_b, id_a from links),"
+    " reach as (select a as id, b as r from e union select reach.id, e.b from reach join e on e.a = reach.r),"
+    " least as (select id, least(id, min(r)) as entity from reach group by id)"
+    " select m.id, coalesce(l.entity, m.id) as entity_id from members m left join least l on l.id = m.profile"
+)
 ORACLES["link_totals"] = _LINK + "select decision, sum(n_pairs)::bigint as n_pairs from links group by decision"
 
 

@@ -12,6 +12,7 @@ from recordloom.operators import (
     blocking,
     compare,
     enrich,
+    entities,
     explain,
     forest,
     gbt,
@@ -483,6 +484,12 @@ def resolve_links(spark, sf_dir):
     return _rounded(_links(spark, sf_dir)).withColumn("contributions", _flat("contributions"))
 
 
+@query
+def entity_groups(spark, sf_dir):
+    """The entity of every record, from edges in proportion to the records."""
+    return entities.entities(fx.registry(spark, sf_dir), unique_ids=True)
+
+
 @query
 def link_totals(spark, sf_dir):
     """Linked record pairs by decision."""

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordloom.operators import blocking
-from recordloom.operators.compare import feature_vector, pair_features
+from recordloom.operators.compare import block_features, feature_vector, pair_features
 from recordloom.operators.entities import _edges, entities
 from recordloom.operators.explain import explain
 from recordloom.operators.resolve import feature_frame, resolve, top_links, unfold_links
@@ -281,3 +281,25 @@ def test_a_group_of_one_structure_gives_edges_in_proportion(spark):
     assert _edges(profs, LinkModel(), 0.45).where("id_a = 'DB00000'").count() == 2999
     found = entities(records(spark, rows)).groupBy("entity_id").count().collect()
     assert [(r["entity_id"], r["count"]) for r in found] == [("DB00000", 3000)]
+
+
+def test_every_pair_of_a_block_is_listed_and_compared(spark):
+    profs = written(blocking.profiles(records(spark, skewed())), "p")
+    rows = profs.collect()
+    expected = {(r["id"], r["id"]) for r in rows if r["n"] > 1 and (r["name_key"] or r["skeleton"])}
+    for a, b in itertools.combinations(rows, 2):
+        if any(a[c] is not None and a[c] == b[c] for c in ("name_key", "skeleton")):
+            expected.add(tuple(sorted((a["id"], b["id"]))))
+    cut = blocking.unfolded(blocking.met_names(profs, ["id"], held=2, chunk=7)).select("a.id", "b.id")
+    got = [tuple(r) for r in cut.unionAll(blocking.copy_pairs(profs)).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    pairs = written(blocking.block_pairs(profs), "pairs")
+    assert {tuple(r) for r in pairs.collect()} == expected and pairs.count() == len(expected)
+    # The same features as when each pair is compared by itself.
+    assert sorted(map(tuple, block_features(profs).collect())) == sorted(map(tuple, pair_features(pairs, profs).collect()))
+
+
+def test_the_feature_frame_has_the_pairs_that_do_not_match(spark):
+    rows = [("DB1", "prefixabc", "1", None, None, None), ("DB2", "prefix zq yw", "2", None, None, None), ("DB3", "other", "1", None, None, None)]
+    frame = feature_frame(records(spark, rows)).collect()
+    assert [(r["id_a"], r["id_b"], r["shared_cas"]) for r in frame] == [("DB1", "DB2", 0.0)] and frame[0]["name_jaro_winkler"] < 0.92

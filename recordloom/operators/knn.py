@@ -1,6 +1,11 @@
-"""Nearest neighbours over embeddings, as further candidate pairs.
+"""Nearest neighbours over embeddings, as further candidate pairs: `exact_knn` compares all vectors, `knn_pairs` finds
+most neighbours with less work.
 
-Several trees are grown over the directions of the distinct vectors. A node with more than `leaf` vectors is split by
+**Exact.** The vectors are dealt into parts, and any two parts are compared in one cell of a grid, by products of
+tiles in single precision. What may be among the k nearest is computed again in double precision. The work grows with the
+square of the vectors; a cell has a bounded size, and a vector is sent to as many cells as there are parts.
+
+**By trees.** Several trees are grown over the directions of the distinct vectors. A node with more than `leaf` vectors is split by
 three planes at once, each moved to the mean of the node, so that a tight cluster is parted like everything else
 (random projection trees, Dasgupta and Freund 2008); all trees grow one level per round. Vectors that share a
 leaf of some tree are compared. Then, a few times, the neighbours of every vector are compared with each other and
@@ -102,6 +107,99 @@ def _nearest(pairs: DataFrame, k: int) -> DataFrame:
     return once.withColumn("place", best).where(F.col("place") <= k).drop("place")
 
 
+def _points(embeddings: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, vector) of the rows that take part, and the distinct vectors with the smallest id of each."""
+    rows = embeddings.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = rows.where(F.col("id").isNotNull() & finite & F.exists("vector", lambda x: x != 0))
+    return rows, written(rows.groupBy("vector").agg(F.min("id").alias("rep")), "points")
+
+
+def _found(rows: DataFrame) -> T.StructType:
+    kind = rows.schema["id"].dataType
+    return T.StructType([T.StructField("rep", kind), T.StructField("other", kind), T.StructField("cosine", T.DoubleType())])
+
+
+def _listed(rows: DataFrame, points: DataFrame, near: DataFrame, k: int) -> DataFrame:
+    """The k nearest of every row, from (rep, other, cosine) of points."""
+    # Of the copies of a point only the first k + 1 ids can be among the k nearest of anything.
+    members = written(rows.join(points, "vector").select("rep", "id"), "members")
+    first = members.withColumn("place", F.row_number().over(W.partitionBy("rep").orderBy("id"))).where(F.col("place") <= k + 1)
+    others = near.join(first.select(F.col("rep").alias("other"), F.col("id").alias("neighbour")), "other").select("rep", "neighbour", "cosine")
+    own = first.select("rep", F.col("id").alias("neighbour"), F.lit(1.0).alias("cosine"))
+    order = [F.desc("cosine"), "neighbour"]
+    best = F.row_number().over(W.partitionBy("rep").orderBy(*order))
+    listed = others.unionByName(own).withColumn("place", best).where(F.col("place") <= k + 1).drop("place")
+    # Each id takes k of its point's k + 1, itself left out.
+    found = members.join(listed, "rep").where(F.col("id") != F.col("neighbour"))
+    rank = F.row_number().over(W.partitionBy("id").orderBy(*order))
+    return found.select("id", "neighbour", "cosine", rank.alias("rank")).where(F.col("rank") <= k)
+
+
+#: Vectors compared at once, and neighbours of which the nearest is looked at first.
+_TILE, _GROUP = 256, 64
+#: Numbers in the vectors of a part.
+_NUMBERS = 1 << 21
+
+
+def _best_of_tile(ids: np.ndarray, a: np.ndarray, others: np.ndarray, b: np.ndarray, k: int, same: bool) -> pd.DataFrame:
+    """The k nearest of `b` for each of `a`, unit vectors in double precision. With `same`, a vector is not its own."""
+    k = min(k, len(others) - same)
+    coarse, found = b.astype(np.float32).T, []
+    # What single precision and the rounding to six places may move.
+    margin = np.float32(4e-6 + a.shape[1] * 2.4e-7)
+    ends = np.arange(0, len(others), _GROUP)
+    for start in range(0, len(ids) if k > 0 else 0, _TILE):
+        tile = a[start : start + _TILE]
+        sims = tile.astype(np.float32) @ coarse
+        if same:
+            own = np.nonzero(ids[start : start + _TILE, None] == others)
+            sims[own] = -np.inf
+        # At least k vectors reach the k-th best of the groups' best.
+        best = np.maximum.reduceat(sims, ends, axis=1) if len(ends) >= k else sims
+        floor = np.partition(best, best.shape[1] - k, axis=1)[:, best.shape[1] - k]
+        reached = sims >= (floor - margin)[:, None]
+        if same:
+            reached[own] = False
+        row, col = np.nonzero(reached)
+        cosine = np.concatenate([np.einsum("ij,ij->i", tile[row[i : i + 65536]], b[col[i : i + 65536]]) for i in range(0, len(row), 65536)])
+        cosine = np.round(cosine, 6)
+        order = np.lexsort((others[col], -cosine, row))
+        row, col, cosine = row[order], col[order], cosine[order]
+        first = np.searchsorted(row, row) + k > np.arange(len(row))
+        found.append(pd.DataFrame({"rep": ids[start + row[first]], "other": others[col[first]], "cosine": cosine[first]}))
+    return pd.concat(found) if found else pd.DataFrame({"rep": ids[:0], "other": others[:0], "cosine": np.zeros(0)})
+
+
+def _best_of_cell(k: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, m, part = pdf["rep"].to_numpy(), _unit(list(pdf["vector"])), pdf["part"].to_numpy()
+        low, high = part == part.min(), part == part.max()
+        if low.all():
+            # The cell of one part, or of two of which one is empty.
+            return _best_of_tile(ids, m, ids, m, k, True) if pdf["i"].iloc[0] == pdf["j"].iloc[0] else pdf[["rep"]].iloc[:0].assign(other=ids[:0], cosine=0.0)
+        return pd.concat([_best_of_tile(ids[x], m[x], ids[y], m[y], k, False) for x, y in ((low, high), (high, low))])
+
+    return run
+
+
+def exact_knn(embeddings: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """(id, neighbour, cosine, rank): the k most similar other vectors of each, of all there are, ties by id."""
+    rows, points = _points(embeddings, id_col, vector_col)
+    size = points.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
+    # Small tables are cut as well, to keep many cores busy.
+    parts = max(-(-size["n"] * (size["d"] or 1) // _NUMBERS), min(8, -(-size["n"] // 1024)), 1)
+    dealt = points.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(parts)).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("other")
+    sent = dealt.select("rep", "vector", "part", other).select("rep", "vector", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    # Much work on few bytes: three times as many places as cells, so that few cells share one.
+    cells = sent.repartition(3 * parts * (parts + 1) // 2, "i", "j").groupBy("i", "j").applyInPandas(_best_of_cell(k), _found(rows))
+    # Every two vectors meet once.
+    best = F.row_number().over(W.partitionBy("rep").orderBy(F.desc("cosine"), "other"))
+    near = cells.withColumn("place", best).where(F.col("place") <= k).drop("place")
+    return _listed(rows, points, written(near, "neighbours"), k)
+
+
 def knn_pairs(
     embeddings: DataFrame,
     k: int = 10,
@@ -115,16 +213,13 @@ def knn_pairs(
     seed: int = 42,
 ) -> DataFrame:
     """(id, neighbour, cosine, rank): the k most similar other vectors found of each, ties by id."""
-    rows = embeddings.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.where(F.col("id").isNotNull() & finite & F.exists("vector", lambda x: x != 0))
-    points = written(rows.groupBy("vector").agg(F.min("id").alias("rep")), "points")
+    rows, points = _points(embeddings, id_col, vector_col)
     dimension = points.agg(F.max(F.size("vector"))).first()[0] or 1
     project = _projections(planes(dimension, trees, rounds, seed))
     leaves = _grown(points.select("rep", project("vector").alias("projections")), trees, rounds, leaf)
     place = F.row_number().over(W.partitionBy("tree", "node").orderBy("rep"))
     leaves = leaves.withColumn("chunk", F.floor((place - 1) / chunk))
-    schema = T.StructType([T.StructField("rep", rows.schema["id"].dataType), T.StructField("other", rows.schema["id"].dataType), T.StructField("cosine", T.DoubleType())])
+    schema = _found(rows)
     met = leaves.join(points, "rep").groupBy("tree", "node", "chunk").applyInPandas(_best_of_leaf(k), schema)
     # Twice as many as asked for are kept while the graph is refined.
     near = written(_nearest(met, 2 * k), "neighbours")
@@ -134,16 +229,4 @@ def knn_pairs(
         # A circle has at most 2k + 1 vectors.
         met = circle.join(points, "rep").groupBy("centre").applyInPandas(_best_of_leaf(k), schema)
         near = written(_nearest(met.unionByName(near), 2 * k), "neighbours")
-
-    # Of the copies of a point only the first k + 1 ids can be among the k nearest of anything.
-    members = written(rows.join(points, "vector").select("rep", "id"), "members")
-    first = members.withColumn("place", F.row_number().over(W.partitionBy("rep").orderBy("id"))).where(F.col("place") <= k + 1)
-    others = near.join(first.select(F.col("rep").alias("other"), F.col("id").alias("neighbour")), "other").select("rep", "neighbour", "cosine")
-    own = first.select("rep", F.col("id").alias("neighbour"), F.lit(1.0).alias("cosine"))
-    order = [F.desc("cosine"), "neighbour"]
-    best = F.row_number().over(W.partitionBy("rep").orderBy(*order))
-    listed = others.unionByName(own).withColumn("place", best).where(F.col("place") <= k + 1).drop("place")
-    # Each id takes k of its point's k + 1, itself left out.
-    found = members.join(listed, "rep").where(F.col("id") != F.col("neighbour"))
-    rank = F.row_number().over(W.partitionBy("id").orderBy(*order))
-    return found.select("id", "neighbour", "cosine", rank.alias("rank")).where(F.col("rank") <= k)
+    return _listed(rows, points, near, k)

@@ -281,3 +281,21 @@ def test_index_follows_changes(spark, tmp_path):
     hits = search.search_names(index_store.read_name_index(spark, path), spark.createDataFrame([("q", "tamoxe")], "query_id string, text string"))
     found = index_store.hit_records(hits, index_store.indexed_records(spark, path)).collect()
     assert [(r.query_id, r.rank, r.id, r.name) for r in found] == [("q", 1, "1", "Tamoxel")]
+
+
+@pytest.mark.parametrize("numbers", [knn._NUMBERS, 8 * 60])
+def test_exact_neighbours_are_those_of_all_vectors(spark, monkeypatch, numbers):
+    monkeypatch.setattr(knn, "_NUMBERS", numbers)
+    # Without structure, with copies, and with vectors of one direction, whose cosines tie.
+    vectors = np.random.default_rng(6).normal(size=(500, 8))
+    vectors[50:70], vectors[70:90] = vectors[7], vectors[9] * np.arange(1, 21)[:, None]
+    got = {}
+    for r in sorted(knn.exact_knn(embeddings(spark, vectors), k=5).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["id"], []).append((-r["cosine"], r["neighbour"]))
+    assert got == brute(vectors, 5)
+    # Of ten groups of neighbours the last holds one vector only.
+    vectors = np.random.default_rng(7).normal(size=(9 * knn._GROUP + 1, 4))
+    table = knn._best_of_tile(ids := np.arange(len(vectors)), m := knn._unit(vectors), ids, m, 10, True)
+    assert {i: [(-c, o) for o, c in zip(g["other"], g["cosine"])] for i, g in table.groupby("rep")} == brute(vectors, 10)
+    none = spark.createDataFrame([(1, [0.0]), (2, None), (3, [1.0])], "vec_id long, embedding array<double>")
+    assert knn.exact_knn(none).collect() == []

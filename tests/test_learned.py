@@ -299,3 +299,14 @@ def test_exact_neighbours_are_those_of_all_vectors(spark, monkeypatch, numbers):
     assert {i: [(-c, o) for o, c in zip(g["other"], g["cosine"])] for i, g in table.groupby("rep")} == brute(vectors, 10)
     none = spark.createDataFrame([(1, [0.0]), (2, None), (3, [1.0])], "vec_id long, embedding array<double>")
     assert knn.exact_knn(none).collect() == []
+
+
+def test_rows_trained_on_do_not_grow_with_the_pairs(spark, monkeypatch):
+    trained = []
+    monkeypatch.setattr(gbt, "written", lambda df, label: trained.append(written(df, label)) or trained[-1])
+    fixed = [F.lit(0.0).alias(c) for c in FEATURES[1:]]
+    pairs = spark.range(20_000).select((F.col("id") / 20_000).alias(FEATURES[0]), *fixed, (F.col("id") >= 10_000).cast("int").alias("label"))
+    model = gbt.train_gbt(pairs, max_iter=2)
+    assert trained[0].count() <= gbt._STEPS + 2 and trained[0].agg(F.sum("weight")).first()[0] == 20_000
+    wrong = gbt.score_gbt(model, pairs.select("label", *FEATURES)).where("prediction != label").count()
+    assert wrong < 1000

@@ -37,7 +37,8 @@ def _alive(entries: DataFrame) -> DataFrame:
 
 
 def _postings(names: DataFrame) -> DataFrame:
-    index = build_name_index(names.select("name", F.lit(1).cast("long").alias("n")))
+    # Counted, not a constant, which would be no part of the keys that postings are dealt by.
+    index = build_name_index(names.groupBy("name").agg(F.count("*").alias("n")))
     return index.select("view", "token", "name", F.col("length").cast("int").alias("length"), F.col("tf").cast("long").alias("tf"))
 
 

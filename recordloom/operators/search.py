@@ -25,7 +25,9 @@ def words(c: Column) -> Column:
 def view_tokens(df: DataFrame, text: str, *keys: str) -> DataFrame:
     """(keys, view, length, token): the tokens of a text in the three views and how many each view has.
     The phonetic view keeps the word beside its code; codes are made once per distinct word."""
-    worded = df.select(*keys, words(F.col(text)).alias("w"))
+    # Names are short and make many tokens, so the number of parts is not left to the size of what is shuffled.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    worded = df.select(*keys, words(F.col(text)).alias("w")).repartition(n, *keys)
     parts = {"words": F.col("w"), "autocomplete": F.flatten(F.transform("w", lambda t: edge_ngrams(t)))}
     viewed = F.array(*[F.struct(F.lit(v).alias("view"), tokens.alias("tokens")) for v, tokens in parts.items()])
     spelled = worded.select(*keys, F.explode(viewed).alias("v")).select(
@@ -33,11 +35,11 @@ def view_tokens(df: DataFrame, text: str, *keys: str) -> DataFrame:
     )
     spoken = worded.select(*keys, F.explode("w").alias("word"))
     codes = spread(spoken.select("word").distinct()).select("word", metaphone(F.col("word")).alias("code"))
-    both = F.explode(F.array_distinct(F.array_compact(F.array("word", "code")))).alias("token")
-    heard = spoken.join(codes, "word").select(*keys, both)
-    # One text per window.
-    length = F.count("*").over(W.partitionBy(*keys)).cast("int")
-    return spelled.unionByName(heard.select(*keys, F.lit("phonetic").alias("view"), length.alias("length"), "token"))
+    both = F.array_distinct(F.array_compact(F.array("word", "code"))).alias("both")
+    # One text per row.
+    heard = spoken.join(codes, "word").select(*keys, both).repartition(n, *keys).groupBy(*keys).agg(F.flatten(F.collect_list("both")).alias("tokens"))
+    heard = heard.select(*keys, F.lit("phonetic").alias("view"), F.size("tokens").alias("length"), F.explode("tokens").alias("token"))
+    return spelled.unionByName(heard)
 
 
 def distinct_names(df: DataFrame, id_col: str, name_col: str) -> DataFrame:

@@ -249,6 +249,12 @@ def test_search_equals_scoring_every_name(spark, k):
     assert len(found) == len({(r["query_id"], r["rank"]) for r in found})
 
 
+def test_postings_of_small_names_are_made_by_many_tasks(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("drug number "), "id").alias("name"))
+    index = search.build_name_index(search.distinct_names(df, "id", "name"))
+    assert index.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_hot_lists_are_cut(spark):
     df = spark.range(4000).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("drug "), "id").alias("name"))
     index = search.build_name_index(search.distinct_names(df, "id", "name"))

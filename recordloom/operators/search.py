@@ -1,10 +1,18 @@
-"""Name search: postings of three views of a name, and the best names by BM25 over them, without reading whole lists."""
+"""Name search: postings of three views of a name, and the best names by BM25 over them, shard by shard."""
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+from itertools import groupby
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from recordloom.functions.phonetic import metaphone
 from recordloom.functions.text import edge_ngrams
@@ -173,11 +181,54 @@ def token_weights(index: DataFrame, queries: DataFrame) -> DataFrame:
     return scored.select("query_id", "view", "token", (F.try_element_at(boost, F.col("view")) * F.col("qtf") * idf).alias("w"))
 
 
-#: Scores are rounded to six places; bounds leave room for that.
+#: Names of a shard and queries of a part, at most about so many, which bounds what a task holds.
+_NAMES, _QUERIES = 4096, 2048
+#: Scores are rounded to six places; two that differ by more keep their order.
 _ROUNDING = 2e-6
-#: The share of the score to reach that layers set aside may make up. More sets more postings aside and leaves more
-#: names to look up; below 1, any share gives the same result.
-_ASIDE = 0.1
+
+
+def _best_of_shard(blocks: pa.Table, asked: pa.Table, k: int, schema: pa.Schema) -> pa.Table:
+    """The k best names of a shard for each query of a part, by adding up the postings of the query's tokens."""
+    if not blocks.num_rows or not asked.num_rows:
+        return schema.empty_table()
+    lists = blocks["postings"].combine_chunks()
+    first = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+    held = lists.flatten()
+    coded = held.field("name").dictionary_encode()
+    # Names are numbered in their order, so that ties are broken by number.
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.arange(len(order))
+    code, gains = number[coded.indices.to_numpy()], held.field("gain").to_numpy()
+    borne = np.zeros(len(order), dtype=np.int64)
+    borne[code] = held.field("n").to_numpy()
+    spans: dict[tuple[str, str], list[slice]] = {}
+    for i, token in enumerate(zip(blocks["view"].to_pylist(), blocks["token"].to_pylist(), strict=True)):
+        spans.setdefault(token, []).append(slice(first[i], first[i + 1]))
+    asked = asked.sort_by([("query_id", "ascending"), ("view", "ascending"), ("token", "ascending")])
+    ids, rows = asked["query_id"].to_pylist(), zip(asked["view"].to_pylist(), asked["token"].to_pylist(), asked["w"].to_pylist(), strict=True)
+    found: dict[str, list] = {"query_id": [], "name": [], "n": [], "score": []}
+    for query, tokens in groupby(zip(ids, rows, strict=True), key=lambda x: x[0]):
+        hits = [(at, w) for _, (view, token, w) in tokens for at in spans.get((view, token), ())]
+        if not hits:
+            continue
+        names = np.concatenate([code[at] for at, _ in hits])
+        total = np.bincount(names, np.concatenate([w * gains[at] for at, w in hits]), len(order))
+        some = np.flatnonzero(np.bincount(names, minlength=len(order)))
+        if len(some) > k:
+            some = some[total[some] >= np.partition(total[some], -k)[-k] - _ROUNDING]
+        values, place = np.unique(total[some], return_inverse=True)
+        # Rounded as Spark does, from the shortest decimals of a number.
+        rounded = np.array([float(Decimal(repr(float(v))).quantize(Decimal("1e-6"), ROUND_HALF_UP)) for v in values])[place]
+        best = np.lexsort((some, -rounded))[:k]
+        found["query_id"] += [query] * len(best)
+        found["name"].append(coded.dictionary.take(pa.array(order[some[best]])))
+        found["n"].append(borne[some[best]])
+        found["score"].append(rounded[best])
+    if not found["query_id"]:
+        return schema.empty_table()
+    columns = [pa.array(found["query_id"], schema.field("query_id").type), pa.chunked_array(found["name"]).combine_chunks().cast(pa.string()), np.concatenate(found["n"]), np.concatenate(found["score"])]
+    return pa.Table.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema=schema)
 
 
 def search_names(index: DataFrame, queries: DataFrame, k: int = 10, shards: int = 8, block: int = 256) -> DataFrame:
@@ -186,50 +237,26 @@ def search_names(index: DataFrame, queries: DataFrame, k: int = 10, shards: int
     The score is the sum over the three views of boost * BM25; a name needs a hit in one view. Document
     counts and lengths are those of records, so a name borne by many records counts as often.
 
-    Lists are not read whole (MaxScore, Turtle and Flood 1995, over impact layers, Anh and Moffat 2006). The top layers
-    of a query's tokens name k candidates, whose scores the result must reach. Layers of all tokens, least
-    gain first, are then set aside as long as even together they bring a name only part of the way. Sums over the other
-    layers leave the names that may still reach it, and these are scored by looking up their own postings. The
-    result is that of scoring every name.
+    Names are dealt to shards and queries to parts of bounded size (`shards` is the least number). A task has the postings
+    of one shard beside the queries of one part, adds up the scores of the shard's names and keeps the k best of each query,
+    so what is shuffled is the postings and the queries' tokens, and k names for each query and shard, and not a row for
+    every name that a query hits. The result is that of scoring every name.
     """
-    blocks = written(impact_blocks(index, shards, block), "impact-blocks")
-    weights = written(token_weights(index, queries), "token-weights")
-    worth = gain(F.col("tf").cast("double"), F.col("length"), F.col("avg_length"))
-    rated = index.join(F.broadcast(view_stats(index)), "view").withColumn("gain", worth).withColumn("level", F.ceil(F.col("gain") * _LEVELS).cast("int"))
-    by_query = W.partitionBy("query_id")
-
-    def scores(names: DataFrame) -> DataFrame:
-        """Scores of (query_id, name), by name and token, which no token holds in one place."""
-        found = names.join(weights, "query_id").join(rated, ["view", "token", "name"])
-        return found.groupBy("query_id", "name").agg(F.round(F.sum(F.col("w") * F.col("gain")), 6).alias("score"))
-
-    layers = blocks.groupBy("view", "token", "level").agg(F.max("top").alias("top"))
-    units = weights.join(layers, ["view", "token"]).withColumn("bound", F.col("w") * F.col("top"))
-    units = units.withColumn("first", F.row_number().over(W.partitionBy("query_id", "view", "token").orderBy(F.desc("level"))) == 1)
-    units = written(units, "layers")
-    key = ["view", "token", "level"]
-
-    some = units.where("first").join(blocks.where(F.col("block") == 0), key)
-    some = some.select("query_id", "w", F.explode(F.slice("postings", 1, k)).alias("p"))
-    some = some.groupBy("query_id", F.col("p.name").alias("name")).agg(F.sum(F.col("w") * F.col("p.gain")).alias("part"))
-    place = F.row_number().over(by_query.orderBy(F.desc("part"), "name"))
-    likely = some.withColumn("place", place).where(F.col("place") <= k).select("query_id", "name")
-    floor = F.when(F.count("*") == k, F.min("score") - _ROUNDING).otherwise(F.lit(0.0))
-    reached = written(scores(likely).groupBy("query_id").agg(floor.alias("reached")), "reached")
-
-    # Of a token a name has one posting, so a layer adds to what the layer below it may bring.
-    step = F.col("bound") - F.coalesce(F.lag("bound").over(W.partitionBy("query_id", "view", "token").orderBy("bound")), F.lit(0.0))
-    rising = by_query.orderBy("bound", *key).rowsBetween(W.unboundedPreceding, 0)
-    judged = units.join(reached, "query_id").withColumn("step", step).withColumn("together", F.sum("step").over(rising))
-    judged = written(judged.withColumn("aside", F.col("together") < _ASIDE * F.col("reached")), "judged-layers")
-    unseen = judged.where("aside").groupBy("query_id").agg(F.sum("step").alias("unseen"))
-    seen = judged.where(~F.col("aside")).join(blocks.drop("top"), key).select("query_id", "w", F.explode("postings").alias("p"))
-    sums = seen.groupBy("query_id", F.col("p.name").alias("name"), F.col("p.n").alias("n")).agg(F.sum(F.col("w") * F.col("p.gain")).alias("part"))
-    bounds = reached.join(unseen, "query_id", "left").select("query_id", (F.col("reached") - F.coalesce("unseen", F.lit(0.0))).alias("needed"))
-    left = written(sums.join(bounds, "query_id").where(F.col("part") >= F.col("needed")).drop("needed"), "left-names")
-    looked_up = left.select("query_id", "name").join(judged.where("aside").select("query_id", *key, "w"), "query_id").join(rated, [*key, "name"])
-    rest = looked_up.groupBy("query_id", "name").agg(F.sum(F.col("w") * F.col("gain")).alias("rest"))
-    score = F.round(F.col("part") + F.coalesce("rest", F.lit(0.0)), 6)
-    rank = F.row_number().over(by_query.orderBy(F.desc("score"), "name"))
-    scored = left.join(rest, ["query_id", "name"], "left").select("query_id", "name", "n", score.alias("score"))
+    weights = written(token_weights(index, queries).where(F.col("query_id").isNotNull()), "token-weights")
+    held = index.agg(F.approx_count_distinct("name").alias("n")).first()["n"]
+    shards = max(shards, -(-held // _NAMES))
+    parts = max(1, -(-weights.agg(F.approx_count_distinct("query_id").alias("n")).first()["n"] // _QUERIES))
+    n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = lambda count, name: F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(name)
+    blocks = impact_blocks(index, shards, block).select("shard", "view", "token", "postings", every(parts, "part")).repartition(n, "shard", "part")
+    asked = weights.select("*", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("part"))
+    asked = asked.select("*", every(shards, "shard")).repartition(n, "shard", "part")
+    schema = T.StructType([weights.schema["query_id"], *T.StructType.fromDDL("name string, n long, score double")])
+    fields = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in schema])
+
+    def best(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _best_of_shard(left, right, k, fields)
+
+    scored = blocks.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part")).applyInArrow(best, schema)
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "name"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)

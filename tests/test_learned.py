@@ -249,6 +249,19 @@ def test_search_equals_scoring_every_name(spark, k):
     assert len(found) == len({(r["query_id"], r["rank"]) for r in found})
 
 
+@pytest.mark.parametrize("queries", [1, 100])
+def test_search_in_many_shards_and_parts(spark, monkeypatch, queries):
+    monkeypatch.setattr(search, "_NAMES", 20)
+    monkeypatch.setattr(search, "_QUERIES", queries)
+    # All names score alike for the first query, so ties reach across the shards.
+    df = spark.range(300).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("drug "), F.col("id") + 100).alias("name"))
+    index = search.written(search.build_name_index(search.distinct_names(df, "id", "name")), "postings")
+    asked = spark.createDataFrame([(1, "drug"), (2, "drug 123"), (3, "2"), (None, "drug")], "query_id long, text string")
+    found = search.search_names(index, asked, 12)
+    got = {(r["query_id"], r["rank"], r["name"], r["n"], r["score"]) for r in found.collect()}
+    assert got == exhaustive(index, asked.where("query_id is not null"), 12) and len(got) == 24
+
+
 def test_postings_of_small_names_are_made_by_many_tasks(spark):
     df = spark.range(3000).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("drug number "), "id").alias("name"))
     index = search.build_name_index(search.distinct_names(df, "id", "name"))

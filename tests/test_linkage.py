@@ -303,3 +303,21 @@ def test_the_feature_frame_has_the_pairs_that_do_not_match(spark):
     rows = [("DB1", "prefixabc", "1", None, None, None), ("DB2", "prefix zq yw", "2", None, None, None), ("DB3", "other", "1", None, None, None)]
     frame = feature_frame(records(spark, rows)).collect()
     assert [(r["id_a"], r["id_b"], r["shared_cas"]) for r in frame] == [("DB1", "DB2", 0.0)] and frame[0]["name_jaro_winkler"] < 0.92
+
+
+def test_rows_meet_once_whatever_keys_they_share(spark):
+    rows = spark.range(600).select(F.col("id").cast("string").alias("id"), (F.col("id") * 2).alias("value"))
+    keyed = rows.select(F.explode(F.array(*[x.cast("long") for x in (F.lit(1), F.lit(-7), F.col("value") % 3 + 10, F.lit(1))])).alias("key"), "id")
+    found = blocking.met_on_keys(rows, keyed, chunk=50)
+    got = [(r["id_a"], r["id_b"]) for r in found.collect()]
+    assert len(got) == len(set(got)) == 600 * 599 // 2 and all(a < b for a, b in got)
+    assert found.where("value_a != 2 * cast(id_a as long) or value_b != 2 * cast(id_b as long)").isEmpty()
+
+
+def test_links_are_made_without_shuffling_pairs(spark):
+    rows = [(f"D{i:04d}", "Velorin acid", None, str(i), None, "ABCDEFGHIJKLMN-UHFFFAOYSA-N") for i in range(300)]
+    records = spark.createDataFrame(rows, "drugbank_id string, name string, cas_num string, pubchem_cid string, chembl_id string, inchi_key string")
+    links = resolve(records)
+    assert links.count() == 300 * 299 // 2
+    # Only the copies inside profiles are dealt out as pairs.
+    assert links._jdf.queryExecution().optimizedPlan().toString().count("Repartition 8") <= 1

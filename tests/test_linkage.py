@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordloom.operators import blocking
-from recordloom.operators.compare import block_features, feature_vector, pair_features
+from recordloom.operators.compare import FEATURES, block_features, counted_features, feature_vector, pair_features
 from recordloom.operators.entities import _edges, entities
 from recordloom.operators.explain import explain
-from recordloom.operators.resolve import feature_frame, resolve, top_links, unfold_links
+from recordloom.operators.resolve import feature_frame, link_totals, resolve, top_links, unfold_links
 from recordloom.operators.scoring import FIELD_ORDER, LinkModel, decision, fs_score
 from recordloom.operators.similar import similar_names
 from recordloom.scratch import written
@@ -321,3 +321,35 @@ def test_links_are_made_without_shuffling_pairs(spark):
     assert links.count() == 300 * 299 // 2
     # Only the copies inside profiles are dealt out as pairs.
     assert links._jdf.queryExecution().optimizedPlan().toString().count("Repartition 8") <= 1
+
+
+@pytest.mark.parametrize("least", [None, [frozenset({"shared_inchikey"}), frozenset({"shared_cas", "shared_chembl"})]])
+def test_counted_pairs_equal_listed_ones(spark, least):
+    # An id that stands for two records with different names makes no pair.
+    rows = [*skewed(), ("DB00001", "prefix other", "12", None, "67", "BBBBBBBBBBBBBB-1")]
+    profs = written(blocking.profiles(records(spark, rows), unique_ids=True), "profiles")
+    values = [*FEATURES]
+    held = blocking.copy_pairs(profs)
+    listed = block_features(profs).join(held, ["id_a", "id_b"], "left_anti").unionByName(pair_features(held, profs))
+    if least is not None:
+        listed = listed.where(" or ".join("(" + " and ".join(sorted(s)) + ")" for s in least))
+    want = {tuple(r)[:-1]: r["n"] for r in listed.groupBy(*values).agg(F.sum("n_pairs").alias("n")).collect()}
+    counted = counted_features(profs, least)
+    got = {tuple(r)[:-1]: r["n"] for r in counted.groupBy(*values).agg(F.sum("n_pairs").alias("n")).where("n <> 0").collect()}
+    assert got == want and want
+
+
+@pytest.mark.parametrize("model", MODELS)
+def test_link_totals_are_counted_without_listing_links(spark, model):
+    rows = records(spark, skewed())
+    want = {r["decision"]: r["n"] for r in resolve(rows, model).groupBy("decision").agg(F.sum("n_pairs").alias("n")).collect()}
+    assert {r["decision"]: r["n_pairs"] for r in link_totals(rows, model).collect()} == want
+
+
+def test_rows_counted_do_not_grow_with_the_records(spark):
+    def made(n):
+        rows = [(f"DB{i:05d}", "Same Name", str(i), None, None, "AAAAAAAAAAAAAA-X") for i in range(n)]
+        counts = blocking.counted_names(written(blocking.profiles(records(spark, rows), unique_ids=True), "profiles"))
+        return counts.count(), counts.where("at_least = 0").first()["n_pairs"]
+
+    assert made(50) == (2, 50 * 49 // 2) and made(400) == (2, 400 * 399 // 2)

@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm import linear
-from recordloom.llm.words import NOT_SPACE, UNCHANGED, buffer, mix, prefix_hash, runs, slices, span_hash, split
+from recordloom.llm.words import NOT_SPACE, UNCHANGED, buffer, frugal, mix, prefix_hash, runs, slices, span_hash, split
 from recordloom.scratch import written
 
 BUCKETS = 1 << 13
 _GROUPS = 1 << 12  # the first buckets are hashed word shapes, the others binned measures
 _BINS = 16
+#: Bytes of text that a task reads features of at once: some arrays have 8 bytes for each, and a worker keeps their memory.
+_SLICE = 1 << 19
 
 _SHAPE = UNCHANGED.copy()
 _SHAPE[0x41:0x5B] = 0x41
@@ -168,14 +170,14 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = 10_000, round
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _SLICE):
                 feature, value, first = features(part.column(2))
                 at = pa.array(first, type=pa.int32())
                 found = [part.column(0), pa.ListArray.from_arrays(at, pa.array(feature)), pa.ListArray.from_arrays(at, pa.array(value)), part.column(1)]
                 yield pa.RecordBatch.from_arrays(found, names=["positive", "features", "values", "fold"])
 
     schema = "positive int, features array<int>, values array<float>, fold long"
-    rows = written(chosen.mapInArrow(run, schema).coalesce(8), "quality")
+    rows = written(chosen.mapInArrow(frugal(run), schema).coalesce(8), "quality")
     half = F.pmod("fold", F.lit(2)) == 0
     trial = linear.fit(rows.where(half), _gradient, _plain, linear.Steps(BUCKETS, rate, 1e-5), rounds)
     found = linear.totals(rows.where(~half), _ranks, trial)
@@ -190,21 +192,22 @@ def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _SLICE):
                 z = logits(*features(part.column(1)), sent.value)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(linear.sigmoid(z))], names=["doc_id", "score"])
 
-    return rows.mapInArrow(run, "doc_id long, score double")
+    return rows.mapInArrow(frugal(run), "doc_id long, score double")
 
 
 def keep(documents: DataFrame, weights: np.ndarray, threshold: float = 0.3) -> DataFrame:
     """The documents, all their columns, that score at least `threshold`."""
     sent, at = documents.sparkSession.sparkContext.broadcast(weights), documents.columns.index("text")
+    return documents.mapInArrow(frugal(lambda batches: _kept(batches, at, sent.value, threshold)), documents.schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                z = logits(*features(part.column(at)), sent.value)
-                yield part.filter(pa.array(linear.sigmoid(z) >= threshold))
 
-    return documents.mapInArrow(run, documents.schema)
+def _kept(batches: Iterator[pa.RecordBatch], at: int, weights: np.ndarray, threshold: float) -> Iterator[pa.RecordBatch]:
+    """The rows whose texts, in column `at`, score at least `threshold`."""
+    for batch in batches:
+        for part in slices(batch, "text", _SLICE):
+            z = logits(*features(part.column(at)), weights)
+            yield part.filter(pa.array(linear.sigmoid(z) >= threshold))

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import unicodedata
 import zlib
 
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from recordloom.llm import decontaminate, jaccard, language, neighbours, packing, quality, suffixes, surrogates, toxicity, warc
 from recordloom.llm.queries import TOKENIZER
-from recordloom.llm.words import ALPHANUMERIC, NOT_SPACE, words
+from recordloom.llm.words import ALPHANUMERIC, NOT_SPACE, frugal, slices, words
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 PASSAGE = " ".join(f"Common{i}" for i in range(60))
@@ -398,3 +399,32 @@ def test_long_words_with_equal_sums_stay_apart(spark):
     for r in packing.digests(packing.pack(docs, TOKENIZER)).collect():
         ids = [*tokenizer.encode(b if r.doc_id == 2 else a, add_special_tokens=False).ids, 2]
         assert zlib.crc32(np.array(ids[r.start : r.start + r.length], dtype="<u4").tobytes()) == r.ids_crc32
+
+
+def test_texts_are_read_in_small_slices():
+    """Many megabytes of text in one batch do not make arrays of many times their size, as a reused worker keeps them."""
+    rng = np.random.default_rng(0)
+    vocabulary = np.array([f"word{i}" for i in range(500)])
+    texts = [" ".join(rng.choice(vocabulary, 250)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    weights = np.zeros(quality.BUCKETS + 1, dtype=np.float32)
+    assert sum(map(len, quality._kept(iter([batch.slice(0, 9)]), 1, weights, 0.3))) == 9
+    tracemalloc.start()
+    kept = sum(map(len, quality._kept(iter([batch]), 1, weights, 0.3)))
+    of_quality = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    sets = sum(len(jaccard.shingles(part.column(1))[1]) - 1 for part in slices(batch, "text", jaccard._SLICE))
+    of_shingles = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert kept == sets == len(texts)
+    assert max(of_quality, of_shingles) < 25e6
+
+
+def test_marked_prefixes_and_what_workers_hand_back():
+    marks = np.zeros(jaccard.BITS // 8 + 8192, dtype=np.uint8)
+    marks[4096] = 0b101  # the second block begins with value 1
+    lists = [[1, 2, 3], [], [4, 3]]
+    batch = pa.RecordBatch.from_pydict({"k1": [7, 8, 9], "k2": [1, 1, 1], "n": [3, 0, 2], "tokens": lists})
+    parts = list(frugal(lambda batches: (jaccard._marked(b.slice(i, 1), marks) for b in batches for i in range(len(b))))(iter([batch])))
+    found = [tuple(r.values()) for part in parts for r in part.to_pylist()]
+    assert found == [(7, 1, 3, 0, 1), (7, 1, 3, 2, 3), (9, 1, 2, 1, 3)]

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -121,3 +123,21 @@ def test_other_similarities(spark):
 )
 def test_metaphone(spark, word, code):
     assert one(spark, word, metaphone) == code
+
+
+def test_jaro_by_bits_is_jaro_by_letters(monkeypatch):
+    rng = random.Random(5)
+    for letters in ("ab", "abcdefghijklmnopqrstuvwxyz ", "日本語中文𝒳𝒴é"):
+        pool = ["".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 3, 9, 40, 63, 64, 65, 90]))) for _ in range(200)]
+        left = [rng.choice(pool) for _ in range(3000)]
+        right = [rng.choice(pool) if rng.random() < 0.6 else "".join(rng.sample(x, len(x))) for x in left]
+        apart = [(a, b) for a, b in zip(left, right) if a != b]
+        want = similarity.jaro_of_batch(*[np.array(x, dtype=object) for x in zip(*apart)])
+        for cells in (4_000_000, 2000):
+            monkeypatch.setattr(similarity, "_CELLS", cells)
+            got = similarity.jaro_array(*[pa.array(x) for x in zip(*apart)])
+            assert got.to_pylist() == want.tolist()
+    assert similarity.jaro_array(pa.array(["", None, "", "a", "ab"]), pa.array(["", "a", "a", "a", "ab"])).to_pylist() == [1.0, None, 0.0, 0.0, 1.0]
+    # Names that many pairs share are taken apart once.
+    monkeypatch.setattr(similarity, "jaro_of_batch", None)
+    assert similarity.jaro_array(pa.array(["martha"] * 5000), pa.array(["marhta"] * 5000)).to_pylist() == pytest.approx([0.9444444] * 5000)

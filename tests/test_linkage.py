@@ -373,3 +373,17 @@ def test_rows_counted_do_not_grow_with_the_records(spark):
         return counts.count(), counts.where("at_least = 0").first()["n_pairs"]
 
     assert made(50) == (2, 50 * 49 // 2) and made(400) == (2, 400 * 399 // 2)
+
+
+def test_decisive_pairs_meet_once_and_names_are_compared_once(spark):
+    model = MODELS[1]
+    profs = written(blocking.profiles(records(spark, skewed())), "p")
+    met = written(blocking.decisive_names(profs, ["id"], model, held=3, chunk=5), "met")
+    kept = blocking.in_pairs(met).where(blocking.met_first(met.schema["held_a"].dataType.elementType))
+    got = [tuple(r) for r in kept.select(F.least("l.id", "r.id"), F.greatest("l.id", "r.id")).collect()]
+    assert len(got) == len(set(got)) > 100
+    assert set(got) == {tuple(r) for r in blocking.decisive_pairs(profs, model).collect()}
+    # Copies under one name and structure meet some 64 at a time.
+    rows = [(f"D{i:04d}", "Velorin acid", None, str(i), None, "ABCDEFGHIJKLMN-UHFFFAOYSA-N") for i in range(400)]
+    alike = written(blocking.profiles(records(spark, rows)), "p")
+    assert blocking.decisive_names(alike, ["id"], held=64).count() < 400

@@ -387,3 +387,13 @@ def test_decisive_pairs_meet_once_and_names_are_compared_once(spark):
     rows = [(f"D{i:04d}", "Velorin acid", None, str(i), None, "ABCDEFGHIJKLMN-UHFFFAOYSA-N") for i in range(400)]
     alike = written(blocking.profiles(records(spark, rows)), "p")
     assert blocking.decisive_names(alike, ["id"], held=64).count() < 400
+
+
+@pytest.mark.parametrize("model", MODELS[::2])
+def test_wording_looked_up_is_that_of_each_link(spark, model):
+    links = written(resolve(records(spark, skewed()), model), "links")
+    each, known = explain(links), explain(links, model)
+    assert each.columns == known.columns
+    assert sorted(map(str, each.collect())) == sorted(map(str, known.collect())) and links.count() > 100
+    # Formatting is done for the sets of fields that may agree, and not link by link.
+    assert "format_string" not in known._jdf.queryExecution().optimizedPlan().toString()

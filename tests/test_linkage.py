@@ -397,3 +397,16 @@ def test_wording_looked_up_is_that_of_each_link(spark, model):
     assert sorted(map(str, each.collect())) == sorted(map(str, known.collect())) and links.count() > 100
     # Formatting is done for the sets of fields that may agree, and not link by link.
     assert "format_string" not in known._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_top_links_ask_for_the_highest_posterior_first(spark, monkeypatch):
+    from recordloom.operators import resolve as module
+
+    asked = []
+    found = module.linked_profiles
+    monkeypatch.setattr(module, "linked_profiles", lambda *a: asked.append(a[-1]) or found(*a))
+    full = [(f"DB{i:02d}", f"Ibuprofen {i}", "15687-27-1", "1", "C1", "HEFNNWSXXWATRW-UHFFFAOYSA-N") for i in range(10)]
+    vague = [(f"DC{i:02d}", "Ibuprofen", "15687-27-1", "1", None, None) for i in range(40)]
+    assert [(r["id_a"], r["id_b"]) for r in top_links(records(spark, full + vague), k=5).collect()] == [("DB00", f"DB0{i}") for i in range(1, 6)]
+    assert len(asked) == 1
+    assert top_links(records(spark, vague), k=5).count() == 5 and asked[-1] == 0.45

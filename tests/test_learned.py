@@ -329,3 +329,19 @@ def test_rows_trained_on_do_not_grow_with_the_pairs(spark, monkeypatch):
     assert trained[0].count() <= gbt._STEPS + 2 and trained[0].agg(F.sum("weight")).first()[0] == 20_000
     wrong = gbt.score_gbt(model, pairs.select("label", *FEATURES)).where("prediction != label").count()
     assert wrong < 1000
+
+
+def test_pairs_between_the_same_cuts_are_scored_once(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(int(a > 0.5) if rng.random() < 0.9 else 0, a, rng.random(), rng.random(), *[float(rng.random() < 0.5) for _ in range(4)]) for a in (rng.random() for _ in range(5000))]
+    pairs = written(spark.createDataFrame(rows, ["label", *FEATURES]), "pairs")
+    model = gbt.train_gbt(pairs, max_iter=5)
+    transformed = []
+    one = gbt._scored
+    monkeypatch.setattr(gbt, "_scored", lambda m, df: transformed.append(df) or one(m, df))
+    got = gbt.score_gbt(model, pairs).select(*FEATURES, "prob_match", "prediction").collect()
+    want = one(model, pairs).select(*FEATURES, "prob_match", "prediction").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    twice = pairs.unionByName(pairs)
+    gbt.score_gbt(model, twice)
+    assert transformed[0].count() == transformed[1].count() < 5000
